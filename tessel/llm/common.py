@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +66,21 @@ def spread(df: DataFrame, *keys: str, per: int = 1) -> DataFrame:
     """Deals rows over the session's shuffle partitions by keys."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(1, n * per), *keys)
+
+
+#: Names of a row's place in its file; see placed().
+PLACE = ["_file", "_at"]
+
+
+def placed(docs: DataFrame, shared: Shared) -> DataFrame:
+    """`docs` with two columns that name each row for good: a hash of its file's path and its index there.
+
+    Rows with equal or null ids stay apart by them. A table that is not read straight
+    from Parquet is written to the shared folder first.
+    """
+    docs = docs.drop(*PLACE)
+    place = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    try:
+        return docs.select("*", *place)
+    except AnalysisException:
+        return shared.table(docs).select("*", *place)

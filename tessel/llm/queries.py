@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import token_output
+from tessel.llm import simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": simhash.op2_simhash,
     "op7_token_output": token_output.op7_token_output,
 }
 
