@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import mixing, simhash, token_output
+from tessel.llm import decontaminate, mixing, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": simhash.op2_simhash,
     "op5_mixing": mixing.op5_mixing,
     "op7_token_output": token_output.op7_token_output,
+    "op8_decontamination": decontaminate.op8_decontamination,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_decontamination": decontaminate.SQL,
+}
