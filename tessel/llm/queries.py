@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import decontaminate, mixing, simhash, token_output
+from tessel.llm import decontaminate, mixing, pii, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
     "op2_simhash": simhash.op2_simhash,
     "op5_mixing": mixing.op5_mixing,
     "op7_token_output": token_output.op7_token_output,
