@@ -1,4 +1,4 @@
-"""What the operators share: tables, shared storage between steps, word patterns."""
+"""What the operators share: tables, shared storage between steps, rows by place."""
 
 from __future__ import annotations
 
@@ -9,11 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Java pattern of the white space that parts words.
-SPACE = r"[\x20\x09-\x0D]+"
-#: The same white space as characters.
-BLANKS = " \t\n\x0b\x0c\r"
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -34,10 +29,10 @@ class Shared:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
 
-    def table(self, df: DataFrame) -> DataFrame:
+    def table(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._shared_path = path
         return out
@@ -55,13 +50,6 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def n_words(text):
-    """Number of runs of anything but white space, without Python."""
-    body = F.regexp_replace(text, SPACE, " ")
-    trimmed = F.trim(body)
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1).cast("long")
-
-
 def spread(df: DataFrame, *keys: str, per: int = 1) -> DataFrame:
     """Deals rows over the session's shuffle partitions by keys."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
