@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import decontaminate, mixing, pii, secrets, simhash, token_output
+from tessel.llm import decontaminate, mixing, pii, quality, secrets, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_simhash": simhash.op2_simhash,
     "op3_secrets": secrets.op3_secrets,
     "op5_mixing": mixing.op5_mixing,
+    "op6_quality": quality.op6_quality,
     "op7_token_output": token_output.op7_token_output,
     "op8_decontamination": decontaminate.op8_decontamination,
 }
