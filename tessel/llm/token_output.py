@@ -23,7 +23,9 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessel.llm.common import Shared, read, text_of
@@ -40,13 +41,13 @@ from tessel.llm.huffman import Coder, code_lengths
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Ids of a block, about; a document is never cut.
-BLOCK_IDS = 65_536
+BLOCK_IDS = 262_144
 #: Ids between two checkpoints.
 EVERY = 256
 #: Pieces whose ids a worker keeps.
-MEMO_SIZE = 700_000
+MEMO_SIZE = 1_000_000
 
-_TOKENS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, width int, ids binary"
+_TOKENS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, width int, ids binary, used array<int>, times array<bigint>"
 _BLOCKS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, marks array<bigint>, payload binary"
 
 
@@ -56,53 +57,85 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class PieceEncoder:
-    """Encodes texts by the tokenizers library, asking it once for each space-led piece.
+class PieceEncoder(dict):
+    """Encodes texts by the tokenizers library, asking it once for each piece; the dict holds the pieces' ids.
 
-    A byte-level pre-tokenizer attaches one space to what follows it and keeps a line
-    feed apart, so a text in which no two white-space characters touch falls into pieces
-    that are encoded independently. Any other text is given to the library whole.
+    A byte-level pre-tokenizer attaches one space to what follows it, keeps a line feed
+    apart and parts letters from marks, so a text in which no two white-space characters
+    touch falls into pieces that are encoded independently. Any other text is given to
+    the library whole. Pieces are keyed by what follows their space, by a leading line
+    feed, or (first of a text, or after a line feed or letters) by line feed and space.
     """
 
     def __init__(self, path: str, size: int = MEMO_SIZE):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
-        self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.size = size
-        self.memo: dict[bytes, bytes] = {}
         # Only where the pieces are known to be independent; any other tokenizer encodes whole texts.
-        self.by_piece = "ByteLevel(add_prefix_space=False" in str(self.model.pre_tokenizer) and self.model.normalizer is None
+        self.by_piece = "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
+
+    def packed(self, ids: list[int]) -> bytes:
+        got = array(self.code, ids)
+        if sys.byteorder == "big":
+            got.byteswap()
+        return got.tobytes()
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.model.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         if not self.by_piece or not parts_alone(text):
             return self.whole(text)
         pieces = text.encode().replace(b"\n", b" \n").split(b" ")
-        # a piece without its own space: the first of a text; it is kept under a key that no piece has
         pieces[0] = b"\n " + pieces[0]
-        try:
-            return b"".join(map(self.memo.__getitem__, pieces))
-        except KeyError:
-            return b"".join(self._learn(pieces))
-
-    def _learn(self, pieces: list[bytes]) -> list[bytes]:
-        new = [x for x in dict.fromkeys(pieces) if x not in self.memo]
-        texts = [(x[2:] if x[:2] == b"\n " else x if x[:1] == b"\n" else b" " + x).decode() for x in new]
-        found = {
-            x: np.asarray(e.ids, dtype=self.kind).tobytes()
-            for x, e in zip(new, self.model.encode_batch_fast(texts, add_special_tokens=False), strict=True)
-        }
-        memo = self.memo
-        out = [memo[x] if x in memo else found[x] for x in pieces]
-        if len(memo) < self.size:
-            memo.update(found)
-        return out
+        return b"".join(map(self.__getitem__, pieces))
+
+    def __missing__(self, piece: bytes) -> bytes:
+        letters = piece.rstrip(_MARKS_UTF8)
+        if letters.isalpha():  # ASCII letters stand for themselves, and the space before them for U+0120
+            ids = self.packed([t.id for t in self.model.tokenize("\u0120" + letters.decode())])
+            if len(letters) < len(piece):
+                ids += self[b"\n " + piece[len(letters) :]]
+        elif piece[:1] != b"\n":
+            ids = self.word(" ", piece.decode())
+        elif piece[:2] == b"\n ":
+            ids = self.word("", piece[2:].decode())
+        else:
+            ids = self.whole("\n") + (self[b"\n " + piece[1:]] if len(piece) > 1 else b"")
+        if len(self) < self.size:
+            self[piece] = ids
+        return ids
+
+    def word(self, lead: str, text: str) -> bytes:
+        letters = text.rstrip(_MARKS)
+        if not letters.isalpha():
+            return self.whole(lead + text)
+        ids = self.packed([t.id for t in self.model.tokenize((lead + letters).encode().decode("latin-1").translate(_ALPHABET))])
+        return ids + self[b"\n " + text[len(letters) :].encode()] if len(letters) < len(text) else ids
+
+
+#: Marks that part from the letters before them; no apostrophe, which may begin a contraction.
+_MARKS = ".,!?;:$%&#*|)"
+_MARKS_UTF8 = _MARKS.encode()
+#: A byte-level vocabulary writes bytes that are no visible Latin-1 character as U+0100 and on, in order.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + k for k, b in enumerate(sorted({*range(256)} - _VISIBLE))}
+
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder(path: str) -> PieceEncoder:
+    """One encoder for each tokenizer in a worker, so that its pieces serve all tasks of the worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
 
 
 def parts_alone(text: str) -> bool:
@@ -120,28 +153,29 @@ def parts_alone(text: str) -> bool:
 
 def _tokenise(path: str, end_id: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceEncoder(path)
+        coder = encoder(path)
         shard, block = TaskContext.get().partitionId(), 0
-        tail = np.asarray([end_id], dtype=coder.kind).tobytes()
+        tail = coder.packed([end_id])
+        total = np.zeros(0, dtype=np.int64)
         ids: list[int | None] = []
         sizes: list[int] = []
         parts: list[bytes] = []
         held = 0
 
+        def row(*values) -> pa.RecordBatch:
+            number, docs, n_tokens, n_ids, body, used, times = values
+            kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            cells = [shard, number, docs, n_tokens, n_ids, coder.width, body, used, times]
+            names = ["shard", "block", "doc_ids", "n_tokens", "n_ids", "width", "ids", "used", "times"]
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)], names=names)
+
         def flush() -> pa.RecordBatch:
-            nonlocal block, held, ids, sizes, parts
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard], pa.int32()),
-                    pa.array([block], pa.int32()),
-                    pa.array([ids], pa.list_(pa.int64())),
-                    pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([held], pa.int64()),
-                    pa.array([coder.width], pa.int32()),
-                    pa.array([b"".join(parts)], pa.binary()),
-                ],
-                names=["shard", "block", "doc_ids", "n_tokens", "n_ids", "width", "ids"],
-            )
+            nonlocal block, held, ids, sizes, parts, total
+            body = b"".join(parts)
+            got = np.bincount(np.frombuffer(body, dtype=f"<u{coder.width}"), minlength=len(total))
+            got[: len(total)] += total
+            total = got
+            out = row(block, ids, sizes, held, body, None, None)
             block, held, ids, sizes, parts = block + 1, 0, [], [], []
             return out
 
@@ -157,22 +191,13 @@ def _tokenise(path: str, end_id: int, block_ids: int):
                 held += n
         if held:
             yield flush()
+        if len(total):  # the shard's counts, in a row without a block
+            used = np.flatnonzero(total)
+            yield row(None, None, None, None, None, used, total[used])
 
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, dtype=np.int64)
-    for batch in batches:
-        for width, ids in zip(batch.column(0), batch.column(1), strict=True):
-            got = np.bincount(np.frombuffer(ids.as_buffer(), dtype=f"<u{width.as_py()}"))
-            if len(got) > len(total):
-                total = np.pad(total, (0, len(got) - len(total)))
-            total[: len(got)] += got
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["id", "n"])
-
-
 def _pack(lengths: bytes, every: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(np.frombuffer(lengths, dtype=np.uint8))
@@ -266,12 +291,12 @@ def write_tokens(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    tokens = shared.table(dealt.mapInArrow(_tokenise(tokenizer or tokenizer_path(), end_id, block_ids), _TOKENS))
-    counted = tokens.select("width", "ids").mapInArrow(_count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    tokens = shared.table(dealt.mapInArrow(_tokenise(tokenizer or tokenizer_path(), end_id, block_ids), _TOKENS), "snappy")
+    counted = tokens.where("block is null").select(F.explode(F.arrays_zip("used", "times")).alias("c")).select(F.col("c.used").alias("id"), F.col("c.times").alias("n")).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(int(max(counted["id"].to_pylist(), default=-1)) + 1, dtype=np.int64)
     counts[counted["id"].to_numpy()] = counted["n"].to_numpy()
     lengths = code_lengths(counts, max(limit, int(np.count_nonzero(counts)).bit_length() + 1)).tobytes()
-    blocks = shared.table(tokens.mapInArrow(_pack(lengths, every), T._parse_datatype_string(_BLOCKS)))
+    blocks = shared.table(tokens.where("block is not null").drop("used", "times").mapInArrow(_pack(lengths, every), _BLOCKS), "snappy")
     shared.drop(tokens)
     return TokenFile(blocks, lengths, every)
 
