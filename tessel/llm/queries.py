@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import decontaminate, mixing, pii, quality, secrets, simhash, token_output
+from tessel.llm import decontaminate, mixing, neighbours, pii, quality, secrets, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": quality.op6_quality,
     "op7_token_output": token_output.op7_token_output,
     "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_neighbours": neighbours.op9_neighbours,
 }
 
 SQL: dict[str, str] = {
