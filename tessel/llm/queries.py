@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import decontaminate, mixing, neighbours, pii, quality, secrets, simhash, token_output
+from tessel.llm import decontaminate, line_dedup, mixing, neighbours, pii, quality, secrets, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -17,8 +17,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_output": token_output.op7_token_output,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_neighbours": neighbours.op9_neighbours,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 SQL: dict[str, str] = {
     "op8_decontamination": decontaminate.SQL,
+    "op10_line_dedup": line_dedup.SQL,
 }
