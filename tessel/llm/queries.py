@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import decontaminate, line_dedup, mixing, neighbours, pii, quality, secrets, simhash, token_output
+from tessel.llm import chat_quotes, decontaminate, line_dedup, mixing, neighbours, pii, quality, secrets, simhash, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_simhash": simhash.op2_simhash,
     "op3_secrets": secrets.op3_secrets,
+    "op4_chat_quotes": chat_quotes.op4_chat_quotes,
     "op5_mixing": mixing.op5_mixing,
     "op6_quality": quality.op6_quality,
     "op7_token_output": token_output.op7_token_output,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_chat_quotes": chat_quotes.SQL,
     "op8_decontamination": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }
