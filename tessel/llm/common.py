@@ -57,7 +57,7 @@ def spread(df: DataFrame, *keys: str, per: int = 1) -> DataFrame:
 
 
 #: Names of a row's place in its file; see placed().
-PLACE = ["_file", "_at"]
+PLACE = ["__place_file", "__place_row"]
 
 
 def placed(docs: DataFrame, shared: Shared) -> DataFrame:
@@ -67,8 +67,12 @@ def placed(docs: DataFrame, shared: Shared) -> DataFrame:
     from Parquet is written to the shared folder first.
     """
     docs = docs.drop(*PLACE)
-    place = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    
+    def numbered(df: DataFrame) -> DataFrame:
+        meta = df.metadataColumn("_metadata")
+        return df.select("*", F.xxhash64(meta["file_path"]).alias(PLACE[0]), meta["row_index"].alias(PLACE[1]))
+
     try:
-        return docs.select("*", *place)
+        return numbered(docs)
     except AnalysisException:
-        return shared.table(docs).select("*", *place)
+        return numbered(shared.table(docs))

@@ -110,9 +110,9 @@ def removals(docs: DataFrame, shared: Shared, min_words: int = MIN_WORDS) -> Dat
 def deduplicated(docs: DataFrame, shared: Shared, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with the later copies of repeated runs cut from their texts."""
     docs = placed(docs, shared)
-    out = removals(docs, shared, min_words).where(F.size("removed") > 0).select(*PLACE, "removed")
-    left = F.expr("array_join(transform(filter(transform(split(text, '\\n'), (t, i) -> struct(i as i, t as t)), x -> not array_contains(removed, x.i)), x -> x.t), '\\n')")
-    return docs.join(out, PLACE, "left").withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(left)).drop("removed", *PLACE)
+    out = removals(docs, shared, min_words).where(F.size("removed") > 0).select(*PLACE, F.col("removed").alias("__removed"))
+    left = F.expr("array_join(transform(filter(transform(split(text, '\\n'), (t, i) -> struct(i as i, t as t)), x -> not array_contains(__removed, x.i)), x -> x.t), '\\n')")
+    return docs.join(out, PLACE, "left").withColumn("text", F.when(F.col("__removed").isNull(), F.col("text")).otherwise(left)).drop("__removed", *PLACE)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -231,6 +231,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shared = Shared(spark, "mixing")
     docs = placed(docs, shared)
     units = shared.table(sized(docs, ["doc_id", "source", *PLACE]))
-    taken = mix(units, shared).where("copies > 0").select("copies", *PLACE)
+    taken = mix(units, shared).where("copies > 0").select(F.col("copies").alias("__copies"), *PLACE)
     rows = docs.join(taken, PLACE)
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "_copy", *PLACE)
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies", "__copy", *PLACE)

@@ -150,7 +150,7 @@ def weighed(docs: DataFrame, labels: DataFrame, shared: Shared, keep: list[str])
     """The columns `keep` of each row of docs, role and log_weight."""
     sample = shared.table(roles(labels))
     # at most MAX_LABELS ids, whatever the size of the corpus
-    told = docs.join(F.broadcast(sample), "doc_id", "left").select(text_of().alias("text"), "role", *keep)
+    told = docs.select(text_of().alias("text"), *keep).join(F.broadcast(sample), "doc_id", "left").select("text", "role", *keep)
     counted = told.select("text", "role").mapInArrow(_count, "feature int, raw bigint, target bigint")
     counted = counted.groupBy("feature").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     ratios = log_ratio(counted.toArrow())
