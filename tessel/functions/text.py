@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,7 +40,6 @@ def fold(text: Column, exact: bool = False) -> Column:
     """Without diacritics. Latin letters are folded in the JVM; `exact` decomposes all of Unicode, through Arrow."""
     if not exact:
         return F.regexp_replace(F.translate(text, _MARKED, _PLAIN), "[̀-ͯ]", "")
-    import pandas as pd
 
     @F.pandas_udf("string")
     def decomposed(s: pd.Series) -> pd.Series:

@@ -638,3 +638,17 @@ def constrained_clusters(spark, sf_dir):
         return pa.table([pa.array(col, pa.int64()) for col in zip(*pairs, strict=True)], names=["event_id", "cluster", "n"])
 
     return rows.groupBy("user_id", "day").applyInArrow(block, "event_id bigint, cluster bigint, n bigint")
+
+
+# Streams
+
+
+@query("select date_trunc('day', ts) as start, event_type, count(*) as n, round(sum(value), 2) as total from events group by all")
+def incremental_stream(spark, sf_dir):
+    """Daily counts of a stream of event files, run over all that is there."""
+    import uuid
+
+    from tessel.streaming import incremental as stream
+
+    events = stream.files(spark, sf_dir, "events.parquet", t(spark, sf_dir, "events").schema)
+    return stream.result(stream.windowed_counts(events), f"counts_{uuid.uuid4().hex}")
