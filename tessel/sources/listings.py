@@ -93,7 +93,7 @@ def vendor_text(e: Column, details: Column) -> Column:
             line("Categories: ", F.array_join(F.transform(e["categories"], lambda c: c["name"]), ", ")),
             block("Tickets:", e["tickets"], ticket, 1),
             block("Performances:", e["schedules"], show, 2),
-            F.when(e["description"] != "", F.concat(F.lit("\nDescription:\n"), F.rtrim(details))),
+            F.when(e["description"] != "", F.concat(F.lit("\nDescription:\n"), F.regexp_replace(details, r"\s+$", ""))),
         ),
         F.lit("\n"),
     )
