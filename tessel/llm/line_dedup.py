@@ -140,6 +140,6 @@ later as (select doc_id, lo, hi from (select *, row_number() over (partition by
 gone as (select distinct s.doc_id, line from later l join summed s on s.doc_id = l.doc_id and pos between lo and hi),
 listed as (select doc_id, count(*) as n_removed, string_agg(cast(line as varchar), ',' order by line) as removed from gone group by doc_id),
 counted as (select doc_id, count(*) as n_lines from worded group by doc_id)
-select d.doc_id, cast(coalesce(n_lines, 0) as bigint) as n_lines, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(removed, '') as removed
+select d.doc_id, cast(coalesce(counted.n_lines, 0) as bigint) as n_lines, cast(coalesce(listed.n_removed, 0) as bigint) as n_removed, coalesce(listed.removed, '') as removed
 from documents d left join counted using (doc_id) left join listed using (doc_id)
 """
