@@ -82,21 +82,22 @@ def _hits(docs: DataFrame, found: DataFrame, shared: Shared, k: int, span: int)
     return rows.withColumn("hits", F.expr(f"transform({places}, i -> struct(i as at, g[i] as hash, {base} as base, {near} as near))")).drop("g", "bits")
 
 
-def matches(docs: DataFrame, items: DataFrame, shared: Shared, span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs (doc_id, text, place): its rows with n_words; the verified windows in them; the windows' items.
+def matches(docs: DataFrame, items: DataFrame, shared: Shared, keep: list[str], span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """docs (text, place): its rows with n_words; the verified windows in them; the windows' items.
 
-    rows (doc_id, place, n_words), spans (place, start, size, window), owners (window, item_id).
+    rows (row, a struct of the columns `keep`; place, n_words, hits), spans (place, start,
+    size, window), owners (window, item_id).
     """
     items = items.select("item_id", "text")
     short = [r[0] for r in items.select(F.size(words_of(text_of())).alias("n")).where(f"n > 0 and n < {gram}").distinct().collect()]
-    now = docs.select("doc_id", *PLACE, words_of(text_of()).alias("words"))
+    now = docs.select(F.struct(*keep).alias("row"), *PLACE, words_of(text_of()).alias("words"))
     found = []
     for k, exact in [(gram, False), *((k, True) for k in sorted(short))]:
         at = shared.table(windows(items, k, span, exact))
         found.append(at)
         now = _hits(now, at, shared, k, span).withColumnRenamed("hits", f"hits_{k}")
     kinds = [c for c in now.columns if c.startswith("hits_")]
-    rows = shared.table(now.select("doc_id", *PLACE, F.size("words").cast("long").alias("n_words"), F.flatten(F.array(*kinds)).alias("hits")))
+    rows = shared.table(now.select("row", *PLACE, F.size("words").cast("long").alias("n_words"), F.flatten(F.array(*kinds)).alias("hits")))
     near = rows.where(F.size("hits") > 0).select(*PLACE, F.explode("hits").alias("h")).select(*PLACE, "h.*")
     every = found[0]
     for f in found[1:]:
@@ -106,12 +107,12 @@ def matches(docs: DataFrame, items: DataFrame, shared: Shared, span: int = SPAN,
     there = F.array_join(F.slice("near", F.greatest(F.lit(0), start - F.col("base")) + 1, F.col("size")), " ")
     spans = near.join(every.select("size", "window", "hash", "gap").distinct(), "hash").where((start >= F.col("base")) & (there == F.col("window")))
     spans = shared.table(spans.select(*PLACE, start.alias("start"), "size", "window").distinct())
-    return rows.drop("hits"), spans, every.where("item_id is not null").select("window", "item_id").distinct()
+    return rows, spans, every.where("item_id is not null").select("window", "item_id").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, shared: Shared, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """doc_id, place, n_words, n_hit, n_items, items (sorted as strings, comma-joined) of each row of docs."""
-    rows, spans, owners = matches(docs, items, shared, span, gram)
+    rows, spans, owners = matches(docs, items, shared, ["doc_id"], span, gram)
     # words inside any span: each adds what lies beyond the farthest end so far
     before = Window.partitionBy(*PLACE).orderBy("start", "size").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("size")
@@ -120,7 +121,7 @@ def contamination(docs: DataFrame, items: DataFrame, shared: Shared, span: int =
     named = spans.select(*PLACE, "window").distinct().join(owners, "window").select(*PLACE, F.col("item_id").cast("string").alias("item")).distinct()
     listed = named.groupBy(*PLACE).agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items"))
     out = rows.join(hit.join(listed, PLACE, "left"), PLACE, "left")
-    return out.select("doc_id", *PLACE, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"))
+    return out.select("row.doc_id", *PLACE, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,9 +134,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item stay."""
     shared = Shared(spark, "decontaminate")
-    docs = placed(docs, shared)
-    _, spans, _ = matches(docs, read(spark, sf_dir, "benchmark"), shared)
-    return docs.join(spans.select(*PLACE).distinct(), PLACE, "left_anti").drop(*PLACE)
+    rows, spans, _ = matches(placed(docs, shared), read(spark, sf_dir, "benchmark"), shared, docs.columns)
+    # rows without a gram that an item has are clean; only the others move, to be held against the verified windows
+    held = rows.where(F.size("hits") > 0).join(spans.select(*PLACE).distinct(), PLACE, "left_anti")
+    return rows.where(F.size("hits") == 0).select("row.*").unionByName(held.select("row.*"))
 
 
 #: Whole windows found as substrings of the space-joined words, word by word.

@@ -52,8 +52,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sized(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns `keep`, and size (words of the text)."""
     rows = docs.select(text_of().alias("text"), *keep)
-    spec = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)
-    return rows.mapInArrow(_sizes, f"{spec}, size bigint")
+    return rows.mapInArrow(_sizes, rows.select(*keep).schema.add("size", "long"))
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -232,5 +231,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = placed(docs, shared)
     units = shared.table(sized(docs, ["doc_id", "source", *PLACE]))
     taken = mix(units, shared).where("copies > 0").select(F.col("copies").alias("__copies"), *PLACE)
-    rows = docs.join(taken, PLACE)
+    # about as many rows as documents: never worth a broadcast
+    rows = docs.join(taken.hint("merge"), PLACE)
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies", "__copy", *PLACE)

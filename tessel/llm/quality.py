@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm.common import PLACE, Shared, placed, read, text_of
+from tessel.llm.common import Shared, read, text_of
 
 MAX_LABELS = 20_000
 KAPPA = 3.0
@@ -50,7 +50,7 @@ BUCKETS = 1 << 16
 REPEATS = (2, 4, 8)
 SIZE = 2 * BUCKETS + len(REPEATS)
 #: Words whose buckets a worker keeps.
-MEMO_SIZE = 1_000_000
+MEMO_SIZE = 200_000
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -147,28 +147,27 @@ def cut(keys: DataFrame, k: int, fan: int = 4096) -> int | None:
 
 
 def weighed(docs: DataFrame, labels: DataFrame, shared: Shared, keep: list[str]) -> DataFrame:
-    """The columns `keep` of each row of docs, role and log_weight."""
+    """The columns `keep` of each row of docs, as the struct `row`, with role and log_weight."""
     sample = shared.table(roles(labels))
     # at most MAX_LABELS ids, whatever the size of the corpus
-    told = docs.select(text_of().alias("text"), *keep).join(F.broadcast(sample), "doc_id", "left").select("text", "role", *keep)
+    told = docs.select(text_of().alias("text"), "doc_id", F.struct(*keep).alias("row")).join(F.broadcast(sample), "doc_id", "left").select("text", "role", "doc_id", "row")
     counted = told.select("text", "role").mapInArrow(_count, "feature int, raw bigint, target bigint")
     counted = counted.groupBy("feature").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     ratios = log_ratio(counted.toArrow())
-    spec = ", ".join(f"`{c}` {told.schema[c].dataType.simpleString()}" for c in told.columns[1:])
-    return shared.table(told.mapInArrow(_score(ratios.tobytes()), f"{spec}, log_weight double"))
+    return told.mapInArrow(_score(ratios.tobytes()), told.drop("text").schema.add("log_weight", "double"))
 
 
 def resampled(docs: DataFrame, labels: DataFrame, shared: Shared, keep: list[str], loss: float = LOSS, sharpness: float = SHARPNESS) -> DataFrame:
     """The drawn rows: the columns `keep`, and log_weight."""
-    rows = weighed(docs, labels, shared, keep)
+    u = (F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    key = F.floor((F.col("log_weight") * sharpness - F.log(-F.log(u))) * float(1 << 24)).cast("long")
+    # the rows themselves are kept beside their keys, so that the draw is a filter and moves no text
+    rows = shared.table(weighed(docs, labels, shared, keep).withColumn("key", key))
     bound = rows.where("role = 'held'").agg(F.expr(f"percentile(log_weight, {loss})")).first()[0]
     if bound is None:
-        return rows.select(*keep, "log_weight")
+        return rows.select("row.*", "log_weight")
     k = rows.where(F.col("log_weight") >= bound).count()
-    u = (F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    key = F.floor((F.col("log_weight") * sharpness - F.log(-F.log(u))) * float(1 << 24)).cast("long")
-    rows = shared.table(rows.withColumn("key", key))
-    return rows.where(F.col("key") >= cut(rows, k)).select(*keep, "log_weight")
+    return rows.where(F.col("key") >= cut(rows.select("key"), k)).select("row.*", "log_weight")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +177,5 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are drawn stay."""
-    shared = Shared(spark, "quality")
-    docs = placed(docs, shared)
-    kept = resampled(docs, read(spark, sf_dir, "labels"), shared, ["doc_id", *PLACE])
-    return docs.join(kept.select(*PLACE), PLACE, "left_semi").drop(*PLACE)
+    kept = resampled(docs, read(spark, sf_dir, "labels"), Shared(spark, "quality"), docs.columns)
+    return kept.select(*docs.columns) if "log_weight" not in docs.columns else kept.toDF(*docs.columns, "__log_weight").drop("__log_weight")

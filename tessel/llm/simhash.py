@@ -76,8 +76,7 @@ def _fingerprints(shingle: int):
 def fingerprints(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> DataFrame:
     """The columns `keep`, and fp (the fingerprint as a signed long)."""
     rows = docs.select(text_of().alias("text"), *keep)
-    spec = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)
-    return rows.mapInArrow(_fingerprints(shingle), f"{spec}, fp bigint")
+    return rows.mapInArrow(_fingerprints(shingle), rows.select(*keep).schema.add("fp", "long"))
 
 
 def tree(values: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
@@ -180,7 +179,8 @@ def classes(prints: DataFrame, shared: Shared, distance: int = DISTANCE, most: i
     least = shared.table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     nodes = components(links(least.select("fp"), shared, distance, most), shared)
     rooted = least.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written first: a join on its own exchange may be split where one component is large
+    ids = shared.table(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     return rooted.join(ids, "root").select("fp", "component_id")
 
 
@@ -202,4 +202,5 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *PLACE))
     by = F.coalesce("component_id", "fp")
     kept = grouped.groupBy(by, F.col("component_id").isNull()).agg(first.alias("r")).select(*(F.col(f"r.{p}").alias(p) for p in PLACE))
-    return docs.join(kept, PLACE, "left_semi").drop(*PLACE)
+    # about as many rows as documents: never worth a broadcast
+    return docs.join(kept.hint("merge"), PLACE, "left_semi").drop(*PLACE)
