@@ -7,7 +7,7 @@ anchor a local, deterministic parser expands to the item's boundaries and valida
 behind what its own kind has consumed, so each kind is leftmost and does not overlap
 itself, as a left-to-right regular expression would be, in time linear in the text.
 
-Kinds: email, ip, card, phone (the base), and url, account (by scheme and by cue).
+Kinds: email, ip, card, phone (the base), and url (by scheme), address and account (by cue).
 
 Defined cases: a null text is empty; an empty text has no spans; repeated rows and null
 ids stay rows; an empty table gives an empty result; other columns are ignored. Offsets
@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 from tessel.llm.common import read, text_of
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url", "account")
+KINDS = (*BASE, "url", "address", "account")
 #: Words that announce an account or document number.
 CUES = ("iban", "account", "acct", "ssn", "social security", "passport", "customer id", "routing", "tax id")
 
+#: Words that end a street's name.
+STREETS = ("Street", "Avenue", "Road", "Lane", "Drive", "Boulevard", "Square", "Terrace", "Crescent")
+
 Span = tuple[str, int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -41,6 +44,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _REST = re.compile(r"[A-Za-z0-9\[][^\s<>\"'`|{}\\^]*")
+#: House number and up to four capitalised words before a street's kind; town and postal code after it.
+_HOUSE = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]?(?:\x20[A-Z][A-Za-z'.-]{0,30}){1,4}\x20\Z")
+_TOWN = re.compile(r"(?:,\x20[A-Z][A-Za-z'-]{1,30}(?:\x20[A-Z][A-Za-z'-]{1,30})?(?:,?\x20[A-Z]{2})?(?:,?\x20[0-9]{4,5})?)?(?![0-9A-Za-z])")
 #: What may stand between a cue and its number.
 _GAP = re.compile(r"(?:\x20?(?:number|num|no|nr|code))?\.?\x20?[:=#]?\x20?", re.I)
 _NUMBER = re.compile(r"[A-Z]{0,2}[0-9](?:[\x20-]?[A-Z0-9])*")
@@ -60,6 +66,8 @@ def _anchors():
         for e in "0123456789":
             for between in ("", " ", "-"):
                 found.add_word(d + between + e, ("card", 2 + len(between)))
+    for street in STREETS:
+        found.add_word(" " + street, ("address", len(street) + 1))
     for cue in CUES:
         for form in {cue, cue.title(), cue.upper(), cue.capitalize()}:
             found.add_word(form, ("account", len(form)))
@@ -117,6 +125,12 @@ def _url(text: str, at: int, done: int) -> tuple[int, int, bool] | None:
     return (start, at + 3 + len(m[0].rstrip(".,;:!?)]")), True) if m else None
 
 
+def _address(text: str, at: int, done: int, size: int) -> tuple[int, int, bool] | None:
+    left = max(done, at - 160)
+    house, town = _HOUSE.search(text[left : at + 1]), _TOWN.match(text, at + size)
+    return (left + house.start(), town.end(), True) if house and town else None
+
+
 def iban(text: str) -> bool:
     """Whether country, check digits and account leave remainder 1."""
     text = re.sub("[ -]", "", text).upper()
@@ -137,6 +151,7 @@ def _account(text: str, at: int, done: int, size: int) -> tuple[int, int, bool]
     return m.start(), m.start() + len(number), good
 
 
+_CUED = {"address": _address, "account": _account}
 _PARSERS = {"email": _email, "ip": _ip, "card": _card, "phone": _phone, "url": _url}
 
 
@@ -148,7 +163,7 @@ def find(text: str) -> list[Span]:
         at = last - size + 1
         if at < done[kind]:
             continue
-        got = _account(text, at, done[kind], size) if kind == "account" else _PARSERS[kind](text, at, done[kind])
+        got = _CUED[kind](text, at, done[kind], size) if kind in _CUED else _PARSERS[kind](text, at, done[kind])
         if got:
             start, done[kind], good = got
             if good:
