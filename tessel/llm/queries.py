@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_secrets": secrets.SQL,
     "op4_chat_quotes": chat_quotes.SQL,
     "op8_decontamination": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,

@@ -102,3 +102,34 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in BASE]
     base = F.expr(written.format(f"filter(spans, s -> s.rank < {len(BASE)})"))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), F.expr(written.format("spans")).alias("spans"))
+
+
+def _sql() -> str:
+    """The same spans in SQL: places by the lengths of matches and of what lies between."""
+    select = (
+        "select doc_id, '{k}' as kind, i, list_sum(list_transform(array_slice(g, 1, i), lambda x: length(x))) + coalesce(list_sum(list_transform(array_slice(h, 1, i - 1), lambda x: length(x))), 0) as lo, h[i] as body "
+        "from (select doc_id, h, g, unnest(range(1, len(h) + 1)) as i from (select doc_id, regexp_extract_all(text, '{p}') as h, string_split_regex(text, '{p}') as g from doc))"
+    )
+    kinds = " union all ".join(select.format(k=k, p=p.replace("'", "''")) for k, p in {**_PATTERNS, **_PARTS, "weak": _WEAK}.items())
+    value = _ASSIGN.replace("'", "''")
+    ranks = " ".join(f"when '{k}' then {i}" for i, k in enumerate(KINDS))
+    near = f"exists (select 1 from place p where p.doc_id = w.doc_id and p.kind = '{{}}' and p.lo <= w.hi + {SCOPE} and p.hi >= w.lo - {SCOPE})"
+    both = " and ".join(near.format(r) for r in _PARTS)
+    written = "kind || ':' || lo || ':' || hi"
+    return f"""
+with doc as (select doc_id, coalesce(text, '') as text from documents),
+place as (select doc_id, kind, lo, lo + length(body) as hi, body from ({kinds})),
+base as (select * from place where kind in ('access', 'hex') or kind = 'assign' and length(regexp_extract(body, '{value}', 2)) >= 12),
+weak as (select * from place w where kind = 'weak' and regexp_matches(body, '[0-9]') and regexp_matches(body, '[a-z]') and regexp_matches(body, '[A-Z]')
+  and not exists (select 1 from base b where b.doc_id = w.doc_id and b.lo < w.hi and w.lo < b.hi)),
+span as (select doc_id, kind, lo, hi from base union all select doc_id, 'linked', lo, hi from weak w where {both}),
+ranked as (select *, case kind {ranks} end as rank from span),
+listed as (
+  select doc_id, {", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in BASE)}, string_agg({written}, ',' order by lo, rank) as spans,
+    string_agg({written}, ',' order by lo, rank) filter (rank < {len(BASE)}) as base from ranked group by doc_id)
+select doc_id, {", ".join(f"cast(coalesce(n_{k}, 0) as bigint) as n_{k}" for k in BASE)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from doc left join listed using (doc_id)
+"""
+
+
+SQL = _sql()
