@@ -28,7 +28,7 @@ from tessel.llm.common import PLACE, Shared, placed, read, text_of
 
 SPAN = 10
 GRAM = 5
-#: Most 64-bit words of the presence bitmap (512 KB); it has about one for each kept gram, up to that.
+#: Most 64-bit words of the presence bitmap (512 KB); it has four or more for each kept gram, up to that.
 BITMAP = 1 << 16
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,9 +58,15 @@ def windows(items: DataFrame, k: int, span: int = SPAN, exact: bool = False) ->
     return rows.select("item_id", "size", F.array_join("words", " ").alias("window"), "hash", (F.array_position("grams", F.col("hash")) - 1).cast("int").alias("gap"))
 
 
+def _probes(h: str, longs: int) -> list[tuple[str, str]]:
+    """Word and bit of both places that a hash has in the bitmap, from parts of it that don't overlap."""
+    return [(f"cast(pmod({h}, {longs}) as int)", f"cast(shiftrightunsigned({h}, 58) as int)"), (f"cast(pmod(shiftrightunsigned({h}, 20), {longs}) as int)", f"cast(shiftrightunsigned({h}, 52) & 63 as int)")]
+
+
 def _bitmap(hashes: DataFrame, longs: int) -> DataFrame:
     """One row: bits, an array of so many longs."""
-    bit = hashes.select(F.expr(f"pmod(hash, {longs})").alias("i"), F.expr("1L << cast(shiftrightunsigned(hash, 58) as int)").alias("bit"))
+    places = F.explode(F.array(*(F.expr(f"struct(cast({i} as bigint) as i, 1L << {b} as bit)") for i, b in _probes("hash", longs))))
+    bit = hashes.select(places.alias("p")).select("p.i", "p.bit")
     none = hashes.sparkSession.range(longs).select(F.col("id").alias("i"), F.lit(0).cast("bigint").alias("bit"))
     words = bit.unionByName(none).groupBy("i").agg(F.bit_or("bit").alias("bits"))
     return words.agg(F.sort_array(F.collect_list(F.struct("i", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
@@ -71,10 +77,10 @@ def _hits(docs: DataFrame, found: DataFrame, shared: Shared, k: int, span: int)
     keys = shared.table(found.select("hash", "size").distinct())
     n, shortest = keys.agg(F.count("*"), F.min("size")).first()
     w = (shortest or span) - k + 1  # grams in the shortest window; the minimum of a longer one is that of one so short too
-    longs = 1 << min(BITMAP.bit_length() - 1, max(6, (n or 1).bit_length()))
+    longs = 1 << min(BITMAP.bit_length() - 1, max(8, (n or 1).bit_length() + 2))
     bits = shared.table(_bitmap(keys, longs))
     rows = docs.withColumn("g", _grams("words", k)).withColumn("bits", bits.scalar())
-    present = f"shiftrightunsigned(bits[cast(pmod(g[i], {longs}) as int)], cast(shiftrightunsigned(g[i], 58) as int)) & 1 = 1"
+    present = " and ".join(f"shiftrightunsigned(bits[{i}], {b}) & 1 = 1" for i, b in _probes("g[i]", longs))
     least = f"exists(sequence(greatest(0, i - {w - 1}), least(i, size(g) - {w})), s -> forall(sequence(s, s + {w - 1}), j -> g[j] >= g[i]))"
     places = f"if(size(g) >= {w}, filter(sequence(0, size(g) - 1), i -> {present} and {least}), cast(array() as array<int>))"
     reach, base = span - k, f"greatest(0, i - {span - k})"
