@@ -93,6 +93,8 @@ def removed_lines(docs: DataFrame, shared: Shared, min_words: int = MIN_WORDS) -
     known = shared.table(known)
     where = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *PLACE, F.col("at"))
     first = known.groupBy("size", "a", "b").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written first: a join on its own exchange may be split where one run has many copies
+    first = shared.table(first)
     later = known.join(first, ["size", "a", "b"]).where(where != F.col("first"))
     gone = later.select(*PLACE, F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("at")).distinct()
     return every.select("doc_id", *PLACE, "line"), gone.join(rows.select(*PLACE, "at", "line"), [*PLACE, "at"]).select(*PLACE, "line")
