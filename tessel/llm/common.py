@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import ClassVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,25 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Long texts come to Python in batches of so many bytes, unless the session sets a size of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, size)
+
+
 class Shared:
-    """Tables written to the shared folder, which cut lineage: a lost executor costs a reread, not a recomputation."""
+    """Tables written to the shared folder, which cut lineage: a lost executor costs a reread, not a recomputation.
+
+    They stay for the plans that read them; clear() removes them once those have run.
+    """
+
+    live: ClassVar[list[Shared]] = []
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", 0
+        small_batches(spark)
+        Shared.live.append(self)
 
     def table(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         self.n += 1
@@ -39,10 +54,17 @@ class Shared:
 
     def drop(self, *tables: DataFrame) -> None:
         """Removes tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t._shared_path)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(t._shared_path)
+
+    def clear(self) -> None:
+        """Removes all tables."""
+        self._delete(self.root)
+        Shared.live.remove(self)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(column: str = "text"):

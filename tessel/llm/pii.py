@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm.common import read, text_of
+from tessel.llm.common import read, small_batches, text_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "address", "account")
@@ -206,12 +206,14 @@ def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id, counts and digest of the base spans, and all spans of each row of docs (doc_id, text)."""
+    small_batches(docs.sparkSession)
     spec = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
     return docs.select(text_of().alias("text"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(_run, spec)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """doc_id and the text without personal data."""
+    small_batches(docs.sparkSession)
     return docs.select(text_of().alias("text"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(_redacted, "doc_id bigint, text string")
 
 

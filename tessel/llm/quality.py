@@ -50,7 +50,7 @@ BUCKETS = 1 << 16
 REPEATS = (2, 4, 8)
 SIZE = 2 * BUCKETS + len(REPEATS)
 #: Words whose buckets a worker keeps.
-MEMO_SIZE = 200_000
+MEMO_SIZE = 100_000
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 

@@ -45,7 +45,7 @@ BLOCK_IDS = 262_144
 #: Ids between two checkpoints.
 EVERY = 256
 #: Pieces whose ids a worker keeps.
-MEMO_SIZE = 800_000
+MEMO_SIZE = 600_000
 
 _TOKENS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, width int, ids binary, used array<int>, times array<bigint>"
 _BLOCKS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, marks array<bigint>, payload binary"
@@ -91,9 +91,12 @@ class PieceEncoder(dict):
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        if not self.by_piece or not parts_alone(text):
-            return self.whole(text)
-        pieces = text.encode().replace(b"\n", b" \n").split(b" ")
+        return self.encode_utf8(text.encode())
+
+    def encode_utf8(self, raw: bytes) -> bytes:
+        if not self.by_piece or not parts_alone(raw):
+            return self.whole(raw.decode())
+        pieces = raw.replace(b"\n", b" \n").split(b" ")
         pieces[0] = b"\n " + pieces[0]
         return b"".join(map(self.__getitem__, pieces))
 
@@ -138,17 +141,17 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def parts_alone(text: str) -> bool:
+#: Bytes of characters up to U+00FF but for white space other than space and line feed.
+_NARROW = bytes(sorted({*range(0xC0), 0xC2, 0xC3} - {*b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"}))
+
+
+def parts_alone(raw: bytes) -> bool:
     """Whether white space is only single spaces and line feeds, none of which touch, inside Latin letters' range."""
-    try:
-        raw = text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
     if raw[:1] in (b" ", b"\n") or raw[-1:] in (b" ", b"\n"):
         return False
     if b"  " in raw or b"\n\n" in raw or b"\n " in raw or b" \n" in raw:
         return False
-    return len(raw.translate(None, b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0")) == len(raw)
+    return not raw.translate(None, _NARROW) and b"\xc2\x85" not in raw and b"\xc2\xa0" not in raw
 
 
 def _tokenise(path: str, end_id: int, block_ids: int):
@@ -181,7 +184,7 @@ def _tokenise(path: str, end_id: int, block_ids: int):
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                got = coder.encode(text.as_py()) + tail
+                got = coder.encode_utf8(text.as_buffer().to_pybytes()) + tail
                 n = len(got) // coder.width
                 if held and held + n > block_ids:
                     yield flush()
