@@ -92,10 +92,11 @@ class Coder:
         shift = 64 - (start & 63) - size  # negative: the code goes on into the next word
         code = self.codes[ids]
         out = np.zeros((total + 63) // 64 + 1, dtype=np.uint64)
-        head = np.where(shift >= 0, code << np.maximum(shift, 0).astype(np.uint64), code >> np.maximum(-shift, 0).astype(np.uint64))
+        over = np.flatnonzero(shift < 0)  # at most one in each word
+        head = code << (shift & 63).astype(np.uint64)
+        head[over] = code[over] >> (-shift[over]).astype(np.uint64)
         first = np.flatnonzero(np.diff(word, prepend=-1))
         out[word[first]] = np.bitwise_or.reduceat(head, first)
-        over = np.flatnonzero(shift < 0)  # at most one in each word
         out[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)
         return out.astype(">u8").tobytes()[: (total + 7) // 8], start[::every]
 

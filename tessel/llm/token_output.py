@@ -45,7 +45,7 @@ BLOCK_IDS = 262_144
 #: Ids between two checkpoints.
 EVERY = 256
 #: Pieces whose ids a worker keeps.
-MEMO_SIZE = 600_000
+MEMO_SIZE = 800_000
 
 _TOKENS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, width int, ids binary, used array<int>, times array<bigint>"
 _BLOCKS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, marks array<bigint>, payload binary"
