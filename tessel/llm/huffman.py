@@ -78,27 +78,31 @@ class Coder:
         self.top = int(self.lengths.max(initial=0))
         self._table: tuple[np.ndarray, np.ndarray] | None = None
 
-    def pack(self, ids: np.ndarray, every: int) -> tuple[bytes, np.ndarray]:
-        """The bits, and the bit offset of each `every`-th id."""
+    def pack(self, ids: np.ndarray, every: int, chunk: int = 1 << 14) -> tuple[bytes, np.ndarray]:
+        """The bits, and the bit offset of each `every`-th id; by chunks that stay in the cache."""
         if len(ids) == 0:
             return b"", np.empty(0, dtype=np.int64)
-        size = self.wide[ids]
-        if not size.all():
-            raise ValueError("an id has no code")
-        end = np.cumsum(size)
-        start = end - size
-        total = int(end[-1])
-        word = start >> 6
-        shift = 64 - (start & 63) - size  # negative: the code goes on into the next word
-        code = self.codes[ids]
-        out = np.zeros((total + 63) // 64 + 1, dtype=np.uint64)
-        over = np.flatnonzero(shift < 0)  # at most one in each word
-        head = code << (shift & 63).astype(np.uint64)
-        head[over] = code[over] >> (-shift[over]).astype(np.uint64)
-        first = np.flatnonzero(np.diff(word, prepend=-1))
-        out[word[first]] = np.bitwise_or.reduceat(head, first)
-        out[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)
-        return out.astype(">u8").tobytes()[: (total + 7) // 8], start[::every]
+        out = np.zeros(len(ids) * self.top // 64 + 2, dtype=np.uint64)
+        marks, total = [], 0
+        for k in range(0, len(ids), chunk):
+            part = ids[k : k + chunk]
+            size = self.wide[part]
+            if not size.all():
+                raise ValueError("an id has no code")
+            end = np.cumsum(size) + total
+            start = end - size
+            marks.append(start[-k % every :: every])
+            total = int(end[-1])
+            word = start >> 6
+            shift = 64 - (start & 63) - size  # negative: the code goes on into the next word
+            code = self.codes[part]
+            over = np.flatnonzero(shift < 0)  # at most one in each word
+            head = code << (shift & 63).astype(np.uint64)
+            head[over] = code[over] >> (-shift[over]).astype(np.uint64)
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[first]] |= np.bitwise_or.reduceat(head, first)
+            out[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)
+        return out.astype(">u8").tobytes()[: (total + 7) // 8], np.concatenate(marks)
 
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and length by the next `top` bits."""
