@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessel.llm import jaccard
 from tessel.llm.common import PLACE, Shared, placed, read, spread, text_of
 from tessel.llm.components import components
 
@@ -193,14 +194,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one of the least doc_id, then place."""
+    """One document of each group of near copies (see jaccard) stays: the one of the least doc_id, then place."""
     shared = Shared(spark, "simhash")
     docs = placed(docs, shared)
-    prints = shared.table(fingerprints(docs, ["doc_id", *PLACE]))
-    grouped = prints.join(classes(prints, shared), "fp")
+    prints, found = jaccard.classes(docs, shared)
+    grouped = prints.join(found, "node")
     # a null doc_id comes after all others
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *PLACE))
-    by = F.coalesce("component_id", "fp")
-    kept = grouped.groupBy(by, F.col("component_id").isNull()).agg(first.alias("r")).select(*(F.col(f"r.{p}").alias(p) for p in PLACE))
+    kept = grouped.groupBy("root").agg(first.alias("r")).select(*(F.col(f"r.{p}").alias(p) for p in PLACE))
     # about as many rows as documents: never worth a broadcast
     return docs.join(kept.hint("merge"), PLACE, "left_semi").drop(*PLACE)
