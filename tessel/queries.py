@@ -137,6 +137,13 @@ def normalised_text(spark, sf_dir):
     return rows.select("name", text.normalise(c("name")).alias("plain"))
 
 
+@query(f"select name, {norm('name')} as plain from (select distinct text as name from documents)")
+def normalised_whole_text(spark, sf_dir):
+    """As normalised_text, over whole texts."""
+    rows = t(spark, sf_dir, "documents").select(c("text").alias("name")).distinct()
+    return rows.select("name", text.normalise(c("name")).alias("plain"))
+
+
 _TOKENS = f"list_filter(string_split({norm('n')}, ' '), lambda x: x <> '' and x not in ({', '.join(repr(w) for w in text.TITLE_STOPWORDS)}))"
 
 
