@@ -545,6 +545,17 @@ def redact_text(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", review.redact(made).alias("safe"))
 
 
+@query(
+    r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(t, 'sk-ant-[A-Za-z0-9_-]{8,}', 'sk-ant-[REDACTED]', 'g'), '([?&](?:api_key|apikey|key|token|usertoken)=)[^&\s"'']+', '\1[REDACTED]', 'gi'),
+    '(x-api-key|authorization|usertoken)(["'']?\s*[:=]\s*["'']?)[^"''\s,}]+', '\1\2[REDACTED]', 'gi') as safe
+    from (select doc_id, 'https://h/?token=' || doc_id || '&q=1 authorization: ' || lang || ' ' || text as t from documents)"""
+)
+def redact_whole_text(spark, sf_dir):
+    """As redact_text, over whole texts."""
+    made = F.concat(F.lit("https://h/?token="), "doc_id", F.lit("&q=1 authorization: "), "lang", F.lit(" "), "text")
+    return t(spark, sf_dir, "documents").select("doc_id", review.redact(made).alias("safe"))
+
+
 @query(
     r"""with a as (select doc_id, trim(regexp_replace(regexp_replace(translate(regexp_replace('<b>`[x]` ' || left(text, 500), '[\r\n\t\v\f]+', ' ', 'g'), '<>`', '‹›'''), '\[( |x|X)\]', '(\1)', 'g'), '\s+', ' ', 'g')) as s from documents)
     select doc_id, case when length(s) > 300 then left(s, 299) || '…' else s end as line from a"""
