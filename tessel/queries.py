@@ -500,6 +500,18 @@ def multiset_f1(spark, sf_dir):
     return rows.select("doc_id", F.round(text.multiset_f1(c("a"), c("b")), 6).alias("f1"))
 
 
+@query(
+    f"""with w as (select doc_id, list_filter(string_split({norm("text")}, ' '), lambda x: x <> '') as a, list_filter(string_split({norm("substr(text, 50)")}, ' '), lambda x: x <> '') as b from documents),
+    x as (select doc_id, t, count(*) as k from (select doc_id, unnest(a) as t from w) group by all), y as (select doc_id, t, count(*) as k from (select doc_id, unnest(b) as t from w) group by all),
+    i as (select doc_id, sum(least(x.k, y.k)) as k from x join y using (doc_id, t) group by 1)
+    select doc_id, round(case when len(a) + len(b) = 0 then 1.0 else 2.0 * coalesce(i.k, 0) / (len(a) + len(b)) end, 6) as f1 from w left join i using (doc_id)"""
+)
+def multiset_f1_whole(spark, sf_dir):
+    """Whole texts against the same from character 50 to the end."""
+    rows = t(spark, sf_dir, "documents").select("doc_id", text.words(c("text")).alias("a"), text.words(F.expr("substr(text, 50)")).alias("b"))
+    return rows.select("doc_id", F.round(text.multiset_f1(c("a"), c("b")), 6).alias("f1"))
+
+
 @query(
     """with s as (select 'quality' as field, cast((n_chars > 200) = (quality = 1) as integer) as ok from documents join labels using (doc_id) union all
     select 'toxic', cast((n_chars < 100) = (toxic = 1) as integer) from documents join labels using (doc_id))
