@@ -73,7 +73,8 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # texts that hold an added token's literal are given to the library whole
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
@@ -94,7 +95,7 @@ class PieceEncoder(dict):
         return self.encode_utf8(text.encode())
 
     def encode_utf8(self, raw: bytes) -> bytes:
-        if not self.by_piece or not parts_alone(raw):
+        if not self.by_piece or not parts_alone(raw) or any(x in raw for x in self.added):
             return self.whole(raw.decode())
         pieces = raw.replace(b"\n", b" \n").split(b" ")
         pieces[0] = b"\n " + pieces[0]
