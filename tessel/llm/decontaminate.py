@@ -6,12 +6,16 @@ many words shares a kept gram. Kept grams meet in an equi-join; a hit is extende
 whole window and its words are compared, so hash collisions never count.
 
 Items have few words against the corpus, so most document grams meet none: their
-presence is tested first, where the text is, against a bitmap of fixed size. Only grams
-that pass carry their surrounding words into the join. A bitmap filled by a very large
-benchmark lets more pass and changes nothing else.
+presence is tested first, where the text is, against a bitmap that is sized by the
+benchmark's grams (1 MB at most: beyond a million grams more pass, and nothing else
+changes). Only grams that pass carry their surrounding words into the join.
 
-Items shorter than `span` words are one window each; those shorter than k words are
-matched by grams of their own length.
+Items shorter than `span` words are one window each and a class of their own: they are
+found by their first k-gram, whatever its window's minimum (those shorter than k words
+by the gram of their own length), so they don't keep the winnowing of the others from
+thinning out grams.
+
+Of a document only its place and its hits are written; texts stay where they are.
 
 Defined cases: a null or empty text has no words; repeated rows stay rows; items that
 share an item_id count once; an item whose id is null marks words but is not listed; an
@@ -28,8 +32,8 @@ from tessel.llm.common import PLACE, Shared, placed, read, text_of
 
 SPAN = 10
 GRAM = 5
-#: Most 64-bit words of the presence bitmap (512 KB); it has four or more for each kept gram, up to that.
-BITMAP = 1 << 16
+#: Most 64-bit words of a bitmap (1 MB, as it is copied with each row); it has one or two for each hash, up to that.
+BITMAP = 1 << 17
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,65 +49,91 @@ def _grams(words: str, k: int) -> Column:
     return F.expr(f"if(size({words}) >= {k}, transform(sequence(0, size({words}) - {k}), i -> xxhash64({gram})), cast(array() as array<bigint>))")
 
 
-def windows(items: DataFrame, k: int, span: int = SPAN, exact: bool = False) -> DataFrame:
+def windows(items: DataFrame, k: int, span: int = SPAN, short: bool = False) -> DataFrame:
     """Windows of the items: item_id, size, window (its words, joined), hash (of its minimum k-gram), gap (words before that).
 
-    exact: only of items with k words, else of all that have as many.
+    Of items of `span` words and more, every window of as many. short: of items of fewer
+    words (of exactly k words, where k is under GRAM) the whole item, with its first gram.
     """
     rows = items.select("item_id", words_of(text_of()).alias("words")).withColumn("n", F.size("words"))
-    rows = rows.where(F.col("n") == k if exact else F.col("n") >= k).withColumn("size", F.least("n", F.lit(span)))
-    rows = rows.select("item_id", "words", "size", F.explode(F.sequence(F.lit(1), F.col("n") - F.col("size") + 1)).alias("at"))
-    rows = rows.select("item_id", "size", F.slice("words", F.col("at"), F.col("size")).alias("words")).withColumn("grams", _grams("words", k))
-    rows = rows.withColumn("hash", F.array_min("grams"))
-    return rows.select("item_id", "size", F.array_join("words", " ").alias("window"), "hash", (F.array_position("grams", F.col("hash")) - 1).cast("int").alias("gap"))
+    if short:
+        rows = rows.where((F.col("n") == k) if k < GRAM else (F.col("n") >= k) & (F.col("n") < span))
+        return rows.select("item_id", F.col("n").alias("size"), F.array_join("words", " ").alias("window"), F.get(_grams("words", k), F.lit(0)).alias("hash"), F.lit(0).alias("gap"))
+    rows = rows.where(F.col("n") >= span).select("item_id", "words", F.explode(F.sequence(F.lit(1), F.col("n") - span + 1)).alias("at"))
+    rows = rows.select("item_id", F.slice("words", F.col("at"), F.lit(span)).alias("words")).withColumn("grams", _grams("words", k)).withColumn("hash", F.array_min("grams"))
+    return rows.select("item_id", F.lit(span).alias("size"), F.array_join("words", " ").alias("window"), "hash", (F.array_position("grams", F.col("hash")) - 1).cast("int").alias("gap"))
 
 
-def _probes(h: str, longs: int) -> list[tuple[str, str]]:
+def _probes(h: Column, longs: int) -> list[tuple[Column, Column]]:
     """Word and bit of both places that a hash has in the bitmap, from parts of it that don't overlap."""
-    return [(f"cast(pmod({h}, {longs}) as int)", f"cast(shiftrightunsigned({h}, 58) as int)"), (f"cast(pmod(shiftrightunsigned({h}, 20), {longs}) as int)", f"cast(shiftrightunsigned({h}, 52) & 63 as int)")]
+    down = lambda n: F.shiftrightunsigned(h, n)
+    return [(F.pmod(h, F.lit(longs)).cast("int"), down(58).cast("int")), (F.pmod(down(20), F.lit(longs)).cast("int"), down(52).bitwiseAND(63).cast("int"))]
 
 
 def _bitmap(hashes: DataFrame, longs: int) -> DataFrame:
     """One row: bits, an array of so many longs."""
-    places = F.explode(F.array(*(F.expr(f"struct(cast({i} as bigint) as i, 1L << {b} as bit)") for i, b in _probes("hash", longs))))
+    places = F.explode(F.array(*(F.struct(i.cast("bigint").alias("i"), F.call_function("shiftleft", F.lit(1).cast("bigint"), b).alias("bit")) for i, b in _probes(F.col("hash"), longs))))
     bit = hashes.select(places.alias("p")).select("p.i", "p.bit")
     none = hashes.sparkSession.range(longs).select(F.col("id").alias("i"), F.lit(0).cast("bigint").alias("bit"))
     words = bit.unionByName(none).groupBy("i").agg(F.bit_or("bit").alias("bits"))
     return words.agg(F.sort_array(F.collect_list(F.struct("i", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
 
 
-def _hits(docs: DataFrame, found: DataFrame, shared: Shared, k: int, span: int) -> DataFrame:
-    """docs (words, ...) with hits: array of (at, hash, base, near) of kept grams that some window may share."""
-    keys = shared.table(found.select("hash", "size").distinct())
-    n, shortest = keys.agg(F.count("*"), F.min("size")).first()
-    w = (shortest or span) - k + 1  # grams in the shortest window; the minimum of a longer one is that of one so short too
-    longs = 1 << min(BITMAP.bit_length() - 1, max(8, (n or 1).bit_length() + 2))
-    bits = shared.table(_bitmap(keys, longs))
-    rows = docs.withColumn("g", _grams("words", k)).withColumn("bits", bits.scalar())
-    present = " and ".join(f"shiftrightunsigned(bits[{i}], {b}) & 1 = 1" for i, b in _probes("g[i]", longs))
-    least = f"exists(sequence(greatest(0, i - {w - 1}), least(i, size(g) - {w})), s -> forall(sequence(s, s + {w - 1}), j -> g[j] >= g[i]))"
-    places = f"if(size(g) >= {w}, filter(sequence(0, size(g) - 1), i -> {present} and {least}), cast(array() as array<int>))"
-    reach, base = span - k, f"greatest(0, i - {span - k})"
-    near = f"transform(sequence({base}, least(size(words) - 1, i + {k - 1 + reach})), j -> words[j])"
-    return rows.withColumn("hits", F.expr(f"transform({places}, i -> struct(i as at, g[i] as hash, {base} as base, {near} as near))")).drop("g", "bits")
+class Presence:
+    """A bitmap of the hashes in a column, as one row of longs: whether a hash may be among them."""
+
+    def __init__(self, hashes: DataFrame, shared: Shared):
+        keys = shared.table(hashes.toDF("hash").distinct())
+        self.n = keys.count()
+        self.longs = 1 << min(BITMAP.bit_length() - 1, max(8, self.n.bit_length()))
+        self.bits = shared.table(_bitmap(keys, self.longs)) if self.n else None
+
+    def test(self, h: Column, bits: Column) -> Column:
+        """Whether the hash h may be there, by the column `bits` (a subquery can't stand in a lambda)."""
+        first, second = (F.call_function("shiftrightunsigned", F.get(bits, i), b).bitwiseAND(F.lit(1)) == 1 for i, b in _probes(h, self.longs))
+        return first & second
+
+
+def _hits(docs: DataFrame, long: DataFrame | None, short: DataFrame, shared: Shared, k: int, span: int) -> DataFrame:
+    """docs (words, ...) with hits_k: array of (at, hash, base, near) of grams by which some window may be found."""
+    g, size, w = F.col("g"), F.size("g"), span - k + 1  # grams in a window
+
+    def least(i: Column) -> Column:
+        starts = F.sequence(F.greatest(F.lit(0), i - (w - 1)), F.least(i, size - w))
+        return (size >= w) & F.exists(starts, lambda s: F.forall(F.sequence(s, s + (w - 1)), lambda j: F.get(g, j) >= F.get(g, i)))
+
+    there = [Presence(found.select("hash"), shared) if found is not None else None for found in (long, short)]
+
+    def may(i: Column) -> Column:
+        tests = [there[0].test(F.get(g, i), F.col("bits_0")) & least(i)] if there[0] and there[0].n else []
+        tests += [there[1].test(F.get(g, i), F.col("bits_1"))] if there[1].n else []
+        return tests[0] if len(tests) == 1 else tests[0] | tests[1]
+
+    if not any(t and t.n for t in there):
+        return docs.withColumn(f"hits_{k}", F.array().cast("array<struct<at:int,hash:bigint,base:int,near:array<string>>>"))
+    places = F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), may)).otherwise(F.array().cast("array<int>"))
+    rows = docs.withColumn("g", _grams("words", k)).withColumns({f"bits_{n}": t.bits.scalar() for n, t in enumerate(there) if t and t.n}).withColumn("places", places)
+    base = f"greatest(0, i - {span - k})"
+    near = f"transform(sequence({base}, least(size(words) - 1, i + {span - 1})), j -> words[j])"
+    return rows.withColumn(f"hits_{k}", F.expr(f"transform(places, i -> struct(i as at, g[i] as hash, {base} as base, {near} as near))")).drop("g", "places", "bits_0", "bits_1")
 
 
 def matches(docs: DataFrame, items: DataFrame, shared: Shared, keep: list[str], span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """docs (text, place): its rows with n_words; the verified windows in them; the windows' items.
+    """Rows (the columns `keep`, place, n_words) of docs (text, place); spans (place, start, size, window); owners (window, item_id).
 
-    rows (row, a struct of the columns `keep`; place, n_words, hits), spans (place, start,
-    size, window), owners (window, item_id).
+    Spans are the verified windows of the items in the rows.
     """
     items = items.select("item_id", "text")
-    short = [r[0] for r in items.select(F.size(words_of(text_of())).alias("n")).where(f"n > 0 and n < {gram}").distinct().collect()]
-    now = docs.select(F.struct(*keep).alias("row"), *PLACE, words_of(text_of()).alias("words"))
+    tiny = [r[0] for r in items.select(F.size(words_of(text_of())).alias("n")).where(f"n > 0 and n < {gram}").distinct().collect()]
+    now = docs.select(*keep, *PLACE, words_of(text_of()).alias("words"))
     found = []
-    for k, exact in [(gram, False), *((k, True) for k in sorted(short))]:
-        at = shared.table(windows(items, k, span, exact))
-        found.append(at)
-        now = _hits(now, at, shared, k, span).withColumnRenamed("hits", f"hits_{k}")
+    for k in [gram, *sorted(tiny)]:
+        long = shared.table(windows(items, k, span)) if k == gram else None
+        short = shared.table(windows(items, k, span, short=True))
+        found += [x for x in (long, short) if x is not None]
+        now = _hits(now, long, short, shared, k, span)
     kinds = [c for c in now.columns if c.startswith("hits_")]
-    rows = shared.table(now.select("row", *PLACE, F.size("words").cast("long").alias("n_words"), F.flatten(F.array(*kinds)).alias("hits")))
+    rows = shared.table(now.select(*keep, *PLACE, F.size("words").cast("long").alias("n_words"), F.flatten(F.array(*kinds)).alias("hits")))
     near = rows.where(F.size("hits") > 0).select(*PLACE, F.explode("hits").alias("h")).select(*PLACE, "h.*")
     every = found[0]
     for f in found[1:]:
@@ -113,7 +143,7 @@ def matches(docs: DataFrame, items: DataFrame, shared: Shared, keep: list[str],
     there = F.array_join(F.slice("near", F.greatest(F.lit(0), start - F.col("base")) + 1, F.col("size")), " ")
     spans = near.join(every.select("size", "window", "hash", "gap").distinct(), "hash").where((start >= F.col("base")) & (there == F.col("window")))
     spans = shared.table(spans.select(*PLACE, start.alias("start"), "size", "window").distinct())
-    return rows, spans, every.where("item_id is not null").select("window", "item_id").distinct()
+    return rows.drop("hits"), spans, every.where("item_id is not null").select("window", "item_id").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, shared: Shared, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -127,7 +157,7 @@ def contamination(docs: DataFrame, items: DataFrame, shared: Shared, span: int =
     named = spans.select(*PLACE, "window").distinct().join(owners, "window").select(*PLACE, F.col("item_id").cast("string").alias("item")).distinct()
     listed = named.groupBy(*PLACE).agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list("item")), ",").alias("items"))
     out = rows.join(hit.join(listed, PLACE, "left"), PLACE, "left")
-    return out.select("row.doc_id", *PLACE, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"))
+    return out.select("doc_id", *PLACE, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +168,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item stay."""
+    """Documents without any window of a benchmark item stay.
+
+    Rows whose place isn't in the bitmap of places with a window are clean and don't
+    move; only the others meet the list of places in a join.
+    """
     shared = Shared(spark, "decontaminate")
-    rows, spans, _ = matches(placed(docs, shared), read(spark, sf_dir, "benchmark"), shared, docs.columns)
-    # rows without a gram that an item has are clean; only the others move, to be held against the verified windows
-    held = rows.where(F.size("hits") > 0).join(spans.select(*PLACE).distinct(), PLACE, "left_anti")
-    return rows.where(F.size("hits") == 0).select("row.*").unionByName(held.select("row.*"))
+    docs = placed(docs, shared)
+    _, spans, _ = matches(docs, read(spark, sf_dir, "benchmark"), shared, [])
+    bad = shared.table(spans.select(*PLACE).distinct())
+    place = F.xxhash64(*PLACE)
+    there = Presence(bad.select(place), shared)
+    if not there.n:
+        return docs.drop(*PLACE)
+    may = there.test(place, there.bits.scalar())
+    return docs.where(~may).unionByName(docs.where(may).join(bad, PLACE, "left_anti")).drop(*PLACE)
 
 
 #: Whole windows found as substrings of the space-joined words, word by word.
