@@ -11,9 +11,11 @@ and a lost executor costs its own blocks only:
 
 * ``blocks``: shard, block (order of both: ascending doc_id), doc_ids, n_tokens (by
   document), n_ids, marks (bit offsets), payload
-* ``header``: id, length (codes are canonical: by length, then id), for used ids only
+* ``header``: one row: tokenizer, end_id, every, and lengths (code lengths by id, 0 for
+  ids that don't occur; codes are canonical: by length, then id)
 
-What is collected on the driver is one count per vocabulary entry.
+Both lie in one folder, and `TokenFile.open` reads them back in any session. What is
+collected on the driver is one count per vocabulary entry.
 
 Nulls and edge cases: a null or empty text has the end id alone; a null doc_id sorts
 first; rows with equal doc_ids are ordered by text and stay separate rows; an empty
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessel.llm.common import Shared, read, text_of
+from tessel.llm.common import Shared, read, shared_dir, text_of
 from tessel.llm.huffman import Coder, code_lengths
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,10 +47,11 @@ END_ID = 2
 BLOCK_IDS = 262_144
 #: Ids between two checkpoints.
 EVERY = 256
-#: Pieces whose ids a worker keeps.
-MEMO_SIZE = 800_000
+#: Pieces whose ids a worker keeps in each of two generations.
+MEMO_SIZE = 64_000
 
 _TOKENS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, width int, ids binary, used array<int>, times array<bigint>"
+_HEADER = "tokenizer string, end_id int, every int, lengths binary"
 _BLOCKS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, marks array<bigint>, payload binary"
 
 
@@ -65,6 +69,10 @@ class PieceEncoder(dict):
     touch falls into pieces that are encoded independently. Any other text is given to
     the library whole. Pieces are keyed by what follows their space, by a leading line
     feed, or (first of a text, or after a line feed or letters) by line feed and space.
+
+    When the dict is full it becomes the older generation and a new one begins; a piece
+    met again is taken over from the older. So memory is bounded, and frequent pieces
+    stay, however many rare ones pass.
     """
 
     def __init__(self, path: str, size: int = MEMO_SIZE):
@@ -78,7 +86,7 @@ class PieceEncoder(dict):
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.size = size
+        self.size, self.older = size, {}
         # Only where the pieces are known to be independent; any other tokenizer encodes whole texts.
         self.by_piece = "ByteLevel(add_prefix_space=False" in str(self.tokenizer.pre_tokenizer) and self.tokenizer.normalizer is None
 
@@ -102,35 +110,39 @@ class PieceEncoder(dict):
         return b"".join(map(self.__getitem__, pieces))
 
     def __missing__(self, piece: bytes) -> bytes:
-        letters = piece.rstrip(_MARKS_UTF8)
-        if letters.isalpha():  # ASCII letters stand for themselves, and the space before them for U+0120
-            ids = self.packed([t.id for t in self.model.tokenize("\u0120" + letters.decode())])
-            if len(letters) < len(piece):
-                ids += self[b"\n " + piece[len(letters) :]]
-        elif piece[:1] != b"\n":
-            ids = self.word(" ", piece.decode())
-        elif piece[:2] == b"\n ":
-            ids = self.word("", piece[2:].decode())
-        else:
-            ids = self.whole("\n") + (self[b"\n " + piece[1:]] if len(piece) > 1 else b"")
-        if len(self) < self.size:
-            self[piece] = ids
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.fresh(piece)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
-    def word(self, lead: str, text: str) -> bytes:
-        letters = text.rstrip(_MARKS)
-        if not letters.isalpha():
-            return self.whole(lead + text)
-        ids = self.packed([t.id for t in self.model.tokenize((lead + letters).encode().decode("latin-1").translate(_ALPHABET))])
-        return ids + self[b"\n " + text[len(letters) :].encode()] if len(letters) < len(text) else ids
+    def fresh(self, piece: bytes) -> bytes:
+        if piece[:2] == b"\n ":
+            return self.word("", piece[2:])
+        if piece[:1] == b"\n":
+            return self.whole("\n") + (self[b"\n " + piece[1:]] if len(piece) > 1 else b"")
+        return self.word(" ", piece)
+
+    def word(self, lead: str, raw: bytes) -> bytes:
+        """A piece without a line feed, after a space or nothing."""
+        bare = raw.rstrip(_MARKS)
+        if not (bare.isalpha() or bare.decode().isalpha()):  # bytes know ASCII letters only
+            return self.whole(lead + raw.decode())
+        if len(bare) < len(raw):
+            return self[bare if lead else b"\n " + bare] + self[b"\n " + raw[len(bare) :]]
+        text = bare.decode() if bare.isascii() else "".join(map(_ALPHABET.__getitem__, bare))
+        return self.packed([t.id for t in self.model.tokenize("\u0120" + text if lead else text)])
 
 
 #: Marks that part from the letters before them; no apostrophe, which may begin a contraction.
-_MARKS = ".,!?;:$%&#*|)"
-_MARKS_UTF8 = _MARKS.encode()
+_MARKS = b".,!?;:$%&#*|)"
 #: A byte-level vocabulary writes bytes that are no visible Latin-1 character as U+0100 and on, in order.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_ALPHABET = {b: 256 + k for k, b in enumerate(sorted({*range(256)} - _VISIBLE))}
+_UNSEEN = {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - _VISIBLE))}
+_ALPHABET = [_UNSEEN.get(b, chr(b)) for b in range(256)]
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -252,15 +264,17 @@ def _unpack(lengths: bytes, every: int, digest: bool):
 
 
 class TokenFile:
-    """A written token file: its blocks and its code lengths."""
+    """A written token file: the folder of its blocks and its header."""
 
-    def __init__(self, blocks: DataFrame, lengths: bytes, every: int):
-        self.blocks, self.lengths, self.every = blocks, lengths, every
+    def __init__(self, spark: SparkSession, path: str):
+        head = spark.read.schema(_HEADER).parquet(f"{path}/header").first()
+        self.path, self.tokenizer, self.end_id, self.every = path, head.tokenizer, head.end_id, head.every
+        self.lengths = bytes(head.lengths)
+        self.blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
 
-    def header(self) -> DataFrame:
-        got = np.frombuffer(self.lengths, dtype=np.uint8)
-        rows = [(int(i), int(got[i])) for i in np.flatnonzero(got)]
-        return self.blocks.sparkSession.createDataFrame(rows, "id int, length int")
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> TokenFile:
+        return cls(spark, path)
 
     def decoded(self, digest: bool = False) -> DataFrame:
         """One row per document, with the ids (or their crc32) and the ids before it in the whole file."""
@@ -285,13 +299,18 @@ def write_tokens(
     spark: SparkSession,
     docs: DataFrame,
     shared: Shared,
+    path: str | None = None,
     tokenizer: str | None = None,
     end_id: int = END_ID,
     block_ids: int = BLOCK_IDS,
     every: int = EVERY,
     limit: int = 16,
 ) -> TokenFile:
-    """Encodes `docs` (doc_id, text) and writes the token file into the shared folder."""
+    """Encodes `docs` (doc_id, text) and writes the token file to `path`, a new folder.
+
+    Without a path it is a folder of its own below the shared one, which outlasts `shared`.
+    """
+    path = path or f"{shared_dir(spark)}/token-file-{uuid.uuid4().hex}"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
@@ -300,16 +319,18 @@ def write_tokens(
     counts = np.zeros(int(max(counted["id"].to_pylist(), default=-1)) + 1, dtype=np.int64)
     counts[counted["id"].to_numpy()] = counted["n"].to_numpy()
     lengths = code_lengths(counts, max(limit, int(np.count_nonzero(counts)).bit_length() + 1)).tobytes()
-    blocks = shared.table(tokens.where("block is not null").drop("used", "times").mapInArrow(_pack(lengths, every), _BLOCKS), "snappy")
+    tokens.where("block is not null").drop("used", "times").mapInArrow(_pack(lengths, every), _BLOCKS).write.option("compression", "snappy").parquet(f"{path}/blocks")
+    spark.createDataFrame([(os.path.basename(tokenizer or TOKENIZER), end_id, every, bytearray(lengths))], _HEADER).coalesce(1).write.parquet(f"{path}/header")
     shared.drop(tokens)
-    return TokenFile(blocks, lengths, every)
+    return TokenFile.open(spark, path)
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round trip of every document through the file: doc_id, start, n_tokens, ids_crc32."""
-    return stage(spark, read(spark, sf_dir, "documents"), sf_dir)
+    return stage(spark, read(spark, sf_dir, "documents"), sf_dir).drop("file")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token file, reads it back, and returns its contents by document; `file` of each row is its folder."""
     file = write_tokens(spark, docs, Shared(spark, "tokens"))
-    return file.decoded(digest=True).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return file.decoded(digest=True).select("doc_id", "start", "n_tokens", "ids_crc32", F.lit(file.path).alias("file"))
