@@ -16,9 +16,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests, local mode)."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    Where it is unset, local mode (tests) gets a temporary folder; a cluster gets an error,
+    as tables in its machines' own folders would be scattered.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tessel-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -33,16 +33,17 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
 
 
-def components(links: DataFrame, shared: Shared, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, shared: Shared) -> DataFrame:
     """(node, component) of all nodes that have a link; links: two long columns a, b.
 
-    Self links and nulls are ignored; a table without links gives no rows.
+    Self links and nulls are ignored; a table without links gives no rows. Rounds go on
+    until the links are the same twice, which takes some log of the nodes.
     """
     now = shared.table(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     seen = None
-    for _ in range(most_rounds):
+    while True:
         nxt = shared.table(_small_star(_large_star(now)))
         mark = nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         shared.drop(now)
@@ -50,7 +51,5 @@ def components(links: DataFrame, shared: Shared, most_rounds: int = 60) -> DataF
         if mark == seen:
             break
         seen = mark
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

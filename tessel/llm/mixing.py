@@ -128,9 +128,9 @@ def land(p: list[float], x: list[float], open_: list[int]) -> None:
         p[k] = float(best >> j & 1)
 
 
-def settle(p: list[float], x: list[float], free: list[int], wanted: float, most_swaps: int = 16) -> None:
-    """Swaps a taken unit for one that is not, while that brings the words nearer to the wanted sum."""
-    for _ in range(most_swaps):
+def settle(p: list[float], x: list[float], free: list[int], wanted: float) -> None:
+    """Swaps a taken unit for one that is not, while that brings the words nearer to the wanted sum (by half a word at least, so it ends)."""
+    while True:
         over = sum(p[k] * x[k] for k in free) - wanted
         out = np.array([k for k in free if p[k] == 1], dtype=np.int64)
         in_ = np.array(sorted((k for k in free if p[k] == 0), key=lambda k: x[k]), dtype=np.int64)
