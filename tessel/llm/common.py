@@ -7,7 +7,7 @@ import uuid
 from typing import ClassVar
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -104,3 +104,48 @@ def placed(docs: DataFrame, shared: Shared) -> DataFrame:
         return numbered(docs)
     except AnalysisException:
         return numbered(shared.table(docs))
+
+
+#: Most 64-bit words of a bitmap (1 MB, as it is copied with each row); it has one or two for each hash, up to that.
+BITMAP = 1 << 17
+
+
+def _probes(h: Column, longs: int) -> list[tuple[Column, Column]]:
+    """Word and bit of both places that a hash has in the bitmap, from parts of it that don't overlap."""
+    down = lambda n: F.shiftrightunsigned(h, n)
+    return [(F.pmod(h, F.lit(longs)).cast("int"), down(58).cast("int")), (F.pmod(down(20), F.lit(longs)).cast("int"), down(52).bitwiseAND(63).cast("int"))]
+
+
+def _bitmap(hashes: DataFrame, longs: int) -> DataFrame:
+    """One row: bits, an array of so many longs."""
+    places = F.explode(F.array(*(F.struct(i.cast("bigint").alias("i"), F.call_function("shiftleft", F.lit(1).cast("bigint"), b).alias("bit")) for i, b in _probes(F.col("hash"), longs))))
+    bit = hashes.select(places.alias("p")).select("p.i", "p.bit")
+    none = hashes.sparkSession.range(longs).select(F.col("id").alias("i"), F.lit(0).cast("bigint").alias("bit"))
+    words = bit.unionByName(none).groupBy("i").agg(F.bit_or("bit").alias("bits"))
+    return words.agg(F.sort_array(F.collect_list(F.struct("i", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
+
+
+class Presence:
+    """A bitmap of the hashes in a column, as one row of longs: whether a hash may be among them."""
+
+    def __init__(self, hashes: DataFrame, shared: Shared):
+        keys = shared.table(hashes.toDF("hash").distinct())
+        self.n = keys.count()
+        self.longs = 1 << min(BITMAP.bit_length() - 1, max(8, self.n.bit_length()))
+        self.bits = shared.table(_bitmap(keys, self.longs)) if self.n else None
+
+    def test(self, h: Column, bits: Column) -> Column:
+        """Whether the hash h may be there, by the column `bits` (a subquery can't stand in a lambda)."""
+        first, second = (F.call_function("shiftrightunsigned", F.get(bits, i), b).bitwiseAND(F.lit(1)) == 1 for i, b in _probes(h, self.longs))
+        return first & second
+
+
+def unmoved(docs: DataFrame, places: DataFrame, shared: Shared, how: str) -> DataFrame:
+    """docs joined with `places` (written, distinct) by place, left_semi or left_anti; only rows in a bitmap of the places move."""
+    place = F.xxhash64(*PLACE)
+    there = Presence(places.select(place), shared)
+    if not there.n:
+        return docs if how == "left_anti" else docs.where("false")
+    may = there.test(place, there.bits.scalar())
+    met = docs.where(may).join(places.hint("merge"), PLACE, how)
+    return docs.where(~may).unionByName(met) if how == "left_anti" else met

@@ -28,13 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessel.llm.common import PLACE, Shared, placed, read, text_of
+from tessel.llm.common import PLACE, Presence, Shared, placed, read, text_of, unmoved
 
 SPAN = 10
 GRAM = 5
-#: Most 64-bit words of a bitmap (1 MB, as it is copied with each row); it has one or two for each hash, up to that.
-BITMAP = 1 << 17
-
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,36 +61,6 @@ def windows(items: DataFrame, k: int, span: int = SPAN, short: bool = False) ->
     return rows.select("item_id", F.lit(span).alias("size"), F.array_join("words", " ").alias("window"), "hash", (F.array_position("grams", F.col("hash")) - 1).cast("int").alias("gap"))
 
 
-def _probes(h: Column, longs: int) -> list[tuple[Column, Column]]:
-    """Word and bit of both places that a hash has in the bitmap, from parts of it that don't overlap."""
-    down = lambda n: F.shiftrightunsigned(h, n)
-    return [(F.pmod(h, F.lit(longs)).cast("int"), down(58).cast("int")), (F.pmod(down(20), F.lit(longs)).cast("int"), down(52).bitwiseAND(63).cast("int"))]
-
-
-def _bitmap(hashes: DataFrame, longs: int) -> DataFrame:
-    """One row: bits, an array of so many longs."""
-    places = F.explode(F.array(*(F.struct(i.cast("bigint").alias("i"), F.call_function("shiftleft", F.lit(1).cast("bigint"), b).alias("bit")) for i, b in _probes(F.col("hash"), longs))))
-    bit = hashes.select(places.alias("p")).select("p.i", "p.bit")
-    none = hashes.sparkSession.range(longs).select(F.col("id").alias("i"), F.lit(0).cast("bigint").alias("bit"))
-    words = bit.unionByName(none).groupBy("i").agg(F.bit_or("bit").alias("bits"))
-    return words.agg(F.sort_array(F.collect_list(F.struct("i", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
-
-
-class Presence:
-    """A bitmap of the hashes in a column, as one row of longs: whether a hash may be among them."""
-
-    def __init__(self, hashes: DataFrame, shared: Shared):
-        keys = shared.table(hashes.toDF("hash").distinct())
-        self.n = keys.count()
-        self.longs = 1 << min(BITMAP.bit_length() - 1, max(8, self.n.bit_length()))
-        self.bits = shared.table(_bitmap(keys, self.longs)) if self.n else None
-
-    def test(self, h: Column, bits: Column) -> Column:
-        """Whether the hash h may be there, by the column `bits` (a subquery can't stand in a lambda)."""
-        first, second = (F.call_function("shiftrightunsigned", F.get(bits, i), b).bitwiseAND(F.lit(1)) == 1 for i, b in _probes(h, self.longs))
-        return first & second
-
-
 def _hits(docs: DataFrame, long: DataFrame | None, short: DataFrame, shared: Shared, k: int, span: int) -> DataFrame:
     """docs (words, ...) with hits_k: array of (at, hash, base, near) of grams by which some window may be found."""
     g, size, w = F.col("g"), F.size("g"), span - k + 1  # grams in a window
@@ -176,13 +143,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shared = Shared(spark, "decontaminate")
     docs = placed(docs, shared)
     _, spans, _ = matches(docs, read(spark, sf_dir, "benchmark"), shared, [])
-    bad = shared.table(spans.select(*PLACE).distinct())
-    place = F.xxhash64(*PLACE)
-    there = Presence(bad.select(place), shared)
-    if not there.n:
-        return docs.drop(*PLACE)
-    may = there.test(place, there.bits.scalar())
-    return docs.where(~may).unionByName(docs.where(may).join(bad, PLACE, "left_anti")).drop(*PLACE)
+    return unmoved(docs, shared.table(spans.select(*PLACE).distinct()), shared, "left_anti").drop(*PLACE)
 
 
 #: Whole windows found as substrings of the space-joined words, word by word.

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessel.llm import jaccard
-from tessel.llm.common import PLACE, Shared, placed, read, spread, text_of
+from tessel.llm.common import PLACE, Shared, placed, read, spread, text_of, unmoved
 from tessel.llm.components import components
 
 SHINGLE = 3
@@ -200,7 +200,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prints, found = jaccard.classes(docs, shared)
     grouped = prints.join(found, "node")
     # a null doc_id comes after all others
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *PLACE))
-    kept = grouped.groupBy("root").agg(first.alias("r")).select(*(F.col(f"r.{p}").alias(p) for p in PLACE))
-    # about as many rows as documents: never worth a broadcast
-    return docs.join(kept.hint("merge"), PLACE, "left_semi").drop(*PLACE)
+    place = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), *PLACE)
+    first = shared.table(grouped.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("root", "first"))
+    later = grouped.join(first, "root").where(place != F.col("first")).select(*PLACE)
+    return unmoved(docs, shared.table(later), shared, "left_anti").drop(*PLACE)
