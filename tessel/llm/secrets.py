@@ -44,18 +44,30 @@ _WEAK = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 _SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
+def _running(a: str, level: int = 3) -> str:
+    """SQL for the running sums of the lambda variable `a`, an array of ints that isn't empty.
+
+    An array grown one by one is copied each time; so sums run within blocks of 64, and
+    the blocks' totals are summed alike, which keeps the work in proportion to the array.
+    """
+    v = f"{a}_{level}"
+    if level == 0:
+        return f"aggregate({a}, struct(0 as t, cast(array() as array<int>) as o), (s, x) -> struct(s.t + x as t, array_append(s.o, s.t + x) as o), s -> s.o)"
+    parts = f"transform(sequence(0, (size({a}) - 1) div 64), b -> transform(array(slice({a}, b * 64 + 1, 64)), {v}p -> {_running(f'{v}p', 0)})[0])"
+    shifted = f"flatten(transform({v}q, (p, k) -> transform(p, x -> x + if(k = 0, 0, {v}r[k - 1]))))"
+    totals = f"transform(array(transform({v}q, p -> element_at(p, -1))), {v}t -> {_running(f'{v}t', level - 1)})[0]"
+    return f"transform(array({parts}), {v}q -> transform(array({totals}), {v}r -> {shifted})[0])[0]"
+
+
 def _spans(text: str, pattern: str) -> Column:
     """All matches, leftmost and not overlapping: array of (start, end, text)."""
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
     hits, gaps = f"regexp_extract_all({text}, '{quoted}', 0)", f"split({text}, '{quoted}', -1)"
-    # ends of gaps and matches, by running sums of their lengths
-    walk = (
-        "aggregate(hits, struct(0 as i, 0 as at, cast(array() as {t}) as out), (s, h) -> struct(s.i + 1 as i, s.at + length(gaps[s.i]) + length(h) as at, "
-        "array_append(s.out, struct(s.at + length(gaps[s.i]) as start, s.at + length(gaps[s.i]) + length(h) as end, h as text)) as out), s -> s.out)"
-    ).format(t=_SPAN)
-    walk = walk.replace("hits", hits).replace("gaps", "g")
-    # the gaps are bound once, as the only element of an array
-    return F.expr(f"if({text} rlike '{quoted}', flatten(transform(array({gaps}), g -> {walk})), cast(array() as {_SPAN}))")
+    # ends of matches, by running sums of the lengths of gaps and matches; the only element of an array is bound once
+    lengths = "transform(z.h, (h, i) -> length(z.g[i]) + length(h))"
+    ends = f"transform(array({lengths}), l -> {_running('l')})[0]"
+    spans = f"transform(array({ends}), e -> transform(z.h, (h, i) -> struct(e[i] - length(h) as start, e[i] as end, h as text)))[0]"
+    return F.expr(f"if({text} rlike '{quoted}', transform(array(struct({hits} as h, {gaps} as g)), z -> {spans})[0], cast(array() as {_SPAN}))")
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -65,14 +77,13 @@ def base_spans(docs: DataFrame) -> DataFrame:
         out = out.withColumn(kind, _spans("text", pattern))
     value = _ASSIGN.replace("\\", "\\\\").replace("'", "\\'")
     out = out.withColumn("assign", F.expr(f"filter(assign, s -> length(regexp_extract(s.text, '{value}', 2)) >= 12)"))
-    # a weak candidate mixes cases and digits and is none of the base
+    # a weak candidate mixes cases and digits
     mixed = "s.text rlike '[0-9]' and s.text rlike '[a-z]' and s.text rlike '[A-Z]'"
-    free = "not exists(concat(assign, access, hex), b -> b.start < s.end and s.start < b.end)"
-    return out.withColumn("weak", F.expr(f"filter(weak, s -> {mixed} and {free})")).drop("text")
+    return out.withColumn("weak", F.expr(f"filter(weak, s -> {mixed})")).drop("text")
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """place, start, end of the weak candidates with an identifier and an endpoint in scope."""
+    """place, start, end of the weak candidates with an identifier and an endpoint in scope that overlap none of the base."""
     weak = found.where(F.size("weak") > 0).select(*PLACE, F.explode("weak").alias("s")).select(*PLACE, "s.start", "s.end")
     roles = [found.where(F.size("weak") > 0).select(*PLACE, F.lit(r).alias("role"), F.explode(r).alias("s")) for r in _PARTS]
     parts = roles[0].unionByName(roles[1])
@@ -83,7 +94,12 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     # in one bin the extremes of its parts decide whether any is near
     near = (F.col("a") <= F.col("end") + scope) & (F.col("b") >= F.col("start") - scope)
     both = reach.join(binned, [*PLACE, "bin"]).where(near).groupBy(*PLACE, "start", "end").agg(F.countDistinct("role").alias("n"))
-    return both.where(F.col("n") == len(_PARTS)).select(*PLACE, "start", "end")
+    both = both.where(F.col("n") == len(_PARTS)).select(*PLACE, "start", "end")
+    base = found.where(F.size("weak") > 0).select(*PLACE, F.explode(F.concat(*BASE)).alias("s"))
+    taken = base.select(*PLACE, F.explode(F.sequence(lo, hi)).alias("bin"), F.col("s.start").alias("a"), F.col("s.end").alias("b"))
+    over = both.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor((F.col("end") - 1) / scope))))
+    over = over.join(taken, [*PLACE, "bin"]).where((F.col("a") < F.col("end")) & (F.col("start") < F.col("b")))
+    return both.join(over.select(*PLACE, "start").distinct(), [*PLACE, "start"], "left_anti")
 
 
 def secrets(docs: DataFrame, shared: Shared, scope: int = SCOPE) -> DataFrame:
