@@ -4,7 +4,8 @@ Two generative models over hashed n-grams of whole words, one of target text (do
 labelled good and not toxic) and one of the raw text (all documents), give each document
 a log importance weight: the sum, over its n-grams, of the log ratio of their
 probabilities in target and raw text. Documents are then drawn without replacement by
-Gumbel top-k: the k greatest sums of log weight and Gumbel noise.
+Gumbel top-k: the k greatest sums of SHARPNESS times the log weight and Gumbel noise, which
+draws in proportion to the weights to that power.
 
 n-grams are words (letters, digits and all that is not ASCII) and runs of marks, in lower case (unigrams), pairs of them that follow
 each other (bigrams), and runs of 2, 4 and 8 equal words, each kind hashed to buckets of
@@ -16,8 +17,8 @@ buckets hold more n-grams and copies repeat them together.
 
 k is stated by the data: the number of documents whose weight reaches the bound that all
 but `LOSS` of held-out good documents reach. Noise is a hash of the document's id and the
-seed: reruns agree. It decides among documents of nearby weights, in proportion to them;
-a document ten nats below the others is drawn once in some 20,000 times.
+seed: reruns agree. It decides among documents of nearby weights; one that lies five nats
+below the others is drawn once in some 20,000 times.
 
 Bounded, documented sample: at most `MAX_LABELS` labelled ids (least by hash) serve as
 target and for the bound; a quarter of them is held out. All counts cover all documents.
@@ -41,6 +42,7 @@ from tessel.llm.common import Shared, read, text_of
 
 MAX_LABELS = 20_000
 LOSS = 0.002
+SHARPNESS = 2.0
 SEED = 11
 #: Hash buckets of unigrams and bigrams; runs of equal words follow them.
 WORDS, PAIRS = 1 << 19, 1 << 17
@@ -184,10 +186,10 @@ def gumbel_key(log_weight: Column, *ids, seed: int | Column = SEED) -> Column:
     return F.floor((log_weight - F.log(-F.log(u))) * float(1 << 24)).cast("long")
 
 
-def resampled(docs: DataFrame, labels: DataFrame, shared: Shared, keep: list[str], loss: float = LOSS, seed: int = SEED) -> DataFrame:
+def resampled(docs: DataFrame, labels: DataFrame, shared: Shared, keep: list[str], loss: float = LOSS, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
     """The drawn rows: the columns `keep`, and log_weight."""
     # the rows themselves are kept beside their keys, so that the draw is a filter and moves no text
-    rows = shared.table(weighed(docs, labels, shared, keep).withColumn("key", gumbel_key(F.col("log_weight"), "doc_id", seed=seed)))
+    rows = shared.table(weighed(docs, labels, shared, keep).withColumn("key", gumbel_key(F.col("log_weight") * sharpness, "doc_id", seed=seed)))
     bound = rows.where("role = 'held'").agg(F.expr(f"percentile(log_weight, {loss})")).first()[0]
     if bound is None:
         return rows.select("row.*", "log_weight")
