@@ -25,5 +25,6 @@ SQL: dict[str, str] = {
     "op3_secrets": secrets.SQL,
     "op4_chat_quotes": chat_quotes.SQL,
     "op8_decontamination": decontaminate.SQL,
+    "op9_neighbours": neighbours.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }
