@@ -48,7 +48,7 @@ BLOCK_IDS = 262_144
 #: Ids between two checkpoints.
 EVERY = 256
 #: Pieces whose ids a worker keeps in each of two generations.
-MEMO_SIZE = 64_000
+MEMO_SIZE = 256_000
 
 _TOKENS = "shard int, block int, doc_ids array<bigint>, n_tokens array<int>, n_ids bigint, width int, ids binary, used array<int>, times array<bigint>"
 _HEADER = "tokenizer string, end_id int, every int, lengths binary"
@@ -129,11 +129,16 @@ class PieceEncoder(dict):
     def word(self, lead: str, raw: bytes) -> bytes:
         """A piece without a line feed, after a space or nothing."""
         bare = raw.rstrip(_MARKS)
-        if not (bare.isalpha() or bare.decode().isalpha()):  # bytes know ASCII letters only
-            return self.whole(lead + raw.decode())
+        if bare.isascii():
+            if not bare.isalpha():
+                return self.whole(lead + raw.decode())
+            text = bare.decode()
+        else:
+            if not bare.decode().isalpha():
+                return self.whole(lead + raw.decode())
+            text = "".join(map(_ALPHABET.__getitem__, bare))
         if len(bare) < len(raw):
             return self[bare if lead else b"\n " + bare] + self[b"\n " + raw[len(bare) :]]
-        text = bare.decode() if bare.isascii() else "".join(map(_ALPHABET.__getitem__, bare))
         return self.packed([t.id for t in self.model.tokenize("\u0120" + text if lead else text)])
 
 
