@@ -25,9 +25,14 @@ def cities_agree(a: Column, b: Column) -> Column:
     return unknown | (x == y) | x.contains(y) | y.contains(x)
 
 
+def in_order(table: DataFrame) -> DataFrame:
+    """A lookup table with _n, its order: by the column `ord` if it has one, else by its rows' content, the same in every run."""
+    return table.withColumn("_n", F.struct("ord" if "ord" in table.columns else F.lit(0).alias("ord"), F.to_json(F.struct(*table.columns)).alias("content")))
+
+
 def aliases(venues: DataFrame) -> DataFrame:
     """alias_key, ord (table order), and the venue, one row per name it goes by."""
-    names = venues.withColumn("_n", F.monotonically_increasing_id()).select("_n", F.struct(*venues.columns).alias("match"), F.posexplode(F.concat(F.array("name"), "aliases")).alias("_p", "_name"))
+    names = in_order(venues).select("_n", F.struct(*venues.columns).alias("match"), F.posexplode(F.concat(F.array("name"), "aliases")).alias("_p", "_name"))
     return names.select(normalise(F.col("_name")).alias("alias_key"), F.struct("_n", "_p").alias("ord"), "match").where("alias_key <> ''")
 
 
@@ -49,7 +54,7 @@ def resolve_venues(rows: DataFrame, venues: DataFrame, key: str, venue: str = "v
     inside = stated.withColumn("_w", F.explode(F.array_distinct(F.split(F.trim("_hay"), " ")))).join(head, "_w")
     inside = inside.where(F.contains("_hay", F.concat(F.lit(" "), F.col("alias_key"), F.lit(" "))) & cities_agree(F.col("match.city"), F.col("_city")))
     inside = inside.groupBy(key).agg(F.min_by("match", F.struct(-F.length("alias_key"), "ord")).alias("_inside"))
-    ids = venues.groupBy("venue_id").agg(F.last(F.struct(*venues.columns)).alias("_claimed")).withColumnRenamed("venue_id", "_id")
+    ids = in_order(venues).groupBy("venue_id").agg(F.max_by(F.struct(*venues.columns), "_n").alias("_claimed")).withColumnRenamed("venue_id", "_id")
     out = rows.join(exact, key, "left").join(inside, key, "left").join(ids, v["venue_id"] == F.col("_id"), "left")
     text = F.coalesce("_by_name", "_inside")
     claims = F.coalesce(v["venue_id"], F.lit("")) != ""
@@ -68,9 +73,9 @@ def surname(name: Column) -> Column:
 
 def composer_keys(composers: DataFrame) -> DataFrame:
     """composer_key, name, certain: full names, and surnames that only one composer has."""
-    rows = composers.select("name", normalise(F.col("name")).alias("full"))
-    full = rows.groupBy(F.col("full").alias("composer_key")).agg(F.last("name").alias("name")).withColumn("certain", F.lit(True))
-    only = rows.groupBy(surname(F.col("full")).alias("composer_key")).agg(F.count("*").alias("n"), F.first("name").alias("name")).where("n = 1")
+    rows = in_order(composers).select("_n", "name", normalise(F.col("name")).alias("full"))
+    full = rows.groupBy(F.col("full").alias("composer_key")).agg(F.max_by("name", "_n").alias("name")).withColumn("certain", F.lit(True))
+    only = rows.groupBy(surname(F.col("full")).alias("composer_key")).agg(F.count("*").alias("n"), F.min("name").alias("name")).where("n = 1")
     only = only.join(full, "composer_key", "left_anti").select("composer_key", "name", F.lit(False).alias("certain"))
     return full.unionByName(only)
 

@@ -18,7 +18,10 @@ _PATH = r"(?i)^[a-z_]+(\.[a-z0-9_]+){0,4}$"
 
 def first_shared_span(a: Column, b: Column, n: int = S.SPAN_WORDS) -> Column:
     """The first n-word span of text a that text b has too; null if there is none."""
-    return F.get(F.filter(shingles(words(a), n), lambda s: F.contains(F.concat(F.lit(" "), F.array_join(words(b), " "), F.lit(" ")), F.concat(F.lit(" "), s, F.lit(" ")))), F.lit(0))
+    # text b is normalised once: the only element of an array is bound for all spans
+    other = F.array(F.concat(F.lit(" "), F.array_join(words(b), " "), F.lit(" ")))
+    found = F.transform(other, lambda hay: F.get(F.filter(shingles(words(a), n), lambda s: F.contains(hay, F.concat(F.lit(" "), s, F.lit(" ")))), F.lit(0)))
+    return F.get(found, F.lit(0))
 
 
 def rules() -> list[tuple[str, str]]:

@@ -14,8 +14,8 @@ BODY_MAX, BODY_RESERVE = 60_000, 400
 
 
 def by_source(sources: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row per source with each (stage, metric) as a column, 0 where there was none. stats: stage, source, metric, value."""
-    wide = stats.groupBy("source").pivot("metric").agg(F.sum("value"))
+    """One row per source with each (stage, metric) as a column stage_metric, 0 where there was none. stats: stage, source, metric, value."""
+    wide = stats.withColumn("_name", F.concat_ws("_", "stage", "metric")).groupBy("source").pivot("_name").agg(F.sum("value"))
     return sources.select("source").join(wide, "source", "left").na.fill(0)
 
 

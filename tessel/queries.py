@@ -131,15 +131,8 @@ def dedupe_keys(spark, sf_dir):
     return rows.select("event_id", keys.dedupe_key(c("day"), F.lit(None).cast("string"), c("place"), c("event_type")).alias("dedupe_key")).withColumn("id", keys.short_hash(c("dedupe_key")))
 
 
-@query(f"select name, {norm('name')} as plain from (select distinct left(text, 200) as name from documents)")
-def normalised_text(spark, sf_dir):
-    rows = t(spark, sf_dir, "documents").select(F.left("text", F.lit(200)).alias("name")).distinct()
-    return rows.select("name", text.normalise(c("name")).alias("plain"))
-
-
 @query(f"select name, {norm('name')} as plain from (select distinct text as name from documents)")
-def normalised_whole_text(spark, sf_dir):
-    """As normalised_text, over whole texts."""
+def normalised_text(spark, sf_dir):
     rows = t(spark, sf_dir, "documents").select(c("text").alias("name")).distinct()
     return rows.select("name", text.normalise(c("name")).alias("plain"))
 
@@ -280,7 +273,7 @@ def json_props_parse(spark, sf_dir):
 # Lookups
 
 
-@query(f"select s_suppkey, n_name, r_name from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where {norm('n_name')} = lower(n_name) or true")
+@query(f"select s_suppkey, n_name, r_name from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
 def alias_lookup_exact(spark, sf_dir):
     """Exact keys of normalised names, one hop after the other."""
     nation, region = t(spark, sf_dir, "nation"), t(spark, sf_dir, "region")
@@ -489,24 +482,13 @@ def failing_sources(spark, sf_dir):
 # Lists and scores
 
 
-@query(
-    f"""with w as (select doc_id, list_filter(string_split({norm("left(text, 300)")}, ' '), lambda x: x <> '') as a, list_filter(string_split({norm("substr(text, 50, 300)")}, ' '), lambda x: x <> '') as b from documents),
-    x as (select doc_id, t, count(*) as k from (select doc_id, unnest(a) as t from w) group by all), y as (select doc_id, t, count(*) as k from (select doc_id, unnest(b) as t from w) group by all),
-    i as (select doc_id, sum(least(x.k, y.k)) as k from x join y using (doc_id, t) group by 1)
-    select doc_id, round(case when len(a) + len(b) = 0 then 1.0 else 2.0 * coalesce(i.k, 0) / (len(a) + len(b)) end, 6) as f1 from w left join i using (doc_id)"""
-)
-def multiset_f1(spark, sf_dir):
-    rows = t(spark, sf_dir, "documents").select("doc_id", text.words(F.substr("text", F.lit(1), F.lit(300))).alias("a"), text.words(F.substr("text", F.lit(50), F.lit(300))).alias("b"))
-    return rows.select("doc_id", F.round(text.multiset_f1(c("a"), c("b")), 6).alias("f1"))
-
-
 @query(
     f"""with w as (select doc_id, list_filter(string_split({norm("text")}, ' '), lambda x: x <> '') as a, list_filter(string_split({norm("substr(text, 50)")}, ' '), lambda x: x <> '') as b from documents),
     x as (select doc_id, t, count(*) as k from (select doc_id, unnest(a) as t from w) group by all), y as (select doc_id, t, count(*) as k from (select doc_id, unnest(b) as t from w) group by all),
     i as (select doc_id, sum(least(x.k, y.k)) as k from x join y using (doc_id, t) group by 1)
     select doc_id, round(case when len(a) + len(b) = 0 then 1.0 else 2.0 * coalesce(i.k, 0) / (len(a) + len(b)) end, 6) as f1 from w left join i using (doc_id)"""
 )
-def multiset_f1_whole(spark, sf_dir):
+def multiset_f1(spark, sf_dir):
     """Whole texts against the same from character 50 to the end."""
     rows = t(spark, sf_dir, "documents").select("doc_id", text.words(c("text")).alias("a"), text.words(F.expr("substr(text, 50)")).alias("b"))
     return rows.select("doc_id", F.round(text.multiset_f1(c("a"), c("b")), 6).alias("f1"))
@@ -547,33 +529,22 @@ def parse_decisions(spark, sf_dir):
     return rows.select("issue", F.explode(review.ticks(c("body"))).alias("d")).select("issue", "d.id", "d.decision")
 
 
-@query(
-    r"""select doc_id, regexp_replace(regexp_replace(t, '([?&](?:api_key|apikey|key|token|usertoken)=)[^&\s"'']+', '\1[REDACTED]', 'gi'),
-    '(x-api-key|authorization|usertoken)(["'']?\s*[:=]\s*["'']?)[^"''\s,}]+', '\1\2[REDACTED]', 'gi') as safe
-    from (select doc_id, 'https://h/?token=' || doc_id || '&q=1 authorization: ' || lang || ' ' || left(text, 100) as t from documents)"""
-)
-def redact_text(spark, sf_dir):
-    made = F.concat(F.lit("https://h/?token="), "doc_id", F.lit("&q=1 authorization: "), "lang", F.lit(" "), F.left("text", F.lit(100)))
-    return t(spark, sf_dir, "documents").select("doc_id", review.redact(made).alias("safe"))
-
-
 @query(
     r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(t, 'sk-ant-[A-Za-z0-9_-]{8,}', 'sk-ant-[REDACTED]', 'g'), '([?&](?:api_key|apikey|key|token|usertoken)=)[^&\s"'']+', '\1[REDACTED]', 'gi'),
     '(x-api-key|authorization|usertoken)(["'']?\s*[:=]\s*["'']?)[^"''\s,}]+', '\1\2[REDACTED]', 'gi') as safe
     from (select doc_id, 'https://h/?token=' || doc_id || '&q=1 authorization: ' || lang || ' ' || text as t from documents)"""
 )
-def redact_whole_text(spark, sf_dir):
-    """As redact_text, over whole texts."""
+def redact_text(spark, sf_dir):
     made = F.concat(F.lit("https://h/?token="), "doc_id", F.lit("&q=1 authorization: "), "lang", F.lit(" "), "text")
     return t(spark, sf_dir, "documents").select("doc_id", review.redact(made).alias("safe"))
 
 
 @query(
-    r"""with a as (select doc_id, trim(regexp_replace(regexp_replace(translate(regexp_replace('<b>`[x]` ' || left(text, 500), '[\r\n\t\v\f]+', ' ', 'g'), '<>`', '‹›'''), '\[( |x|X)\]', '(\1)', 'g'), '\s+', ' ', 'g')) as s from documents)
+    r"""with a as (select doc_id, trim(regexp_replace(regexp_replace(translate(regexp_replace('<b>`[x]` ' || text, '[\r\n\t\v\f]+', ' ', 'g'), '<>`', '‹›'''), '\[( |x|X)\]', '(\1)', 'g'), '\s+', ' ', 'g')) as s from documents)
     select doc_id, case when length(s) > 300 then left(s, 299) || '…' else s end as line from a"""
 )
 def inert_text(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", review.inert(F.concat(F.lit("<b>`[x]` "), F.left("text", F.lit(500)))).alias("line"))
+    return t(spark, sf_dir, "documents").select("doc_id", review.inert(F.concat(F.lit("<b>`[x]` "), "text")).alias("line"))
 
 
 @query("select source, doc_id, n_chars from (select *, row_number() over (partition by source order by n_chars desc, doc_id) as k from documents) where k <= 5")

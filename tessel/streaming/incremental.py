@@ -35,20 +35,35 @@ def upserted(current: DataFrame, batch: DataFrame, key: str, content: list[str],
 
 
 class Upserts:
-    """A table kept by foreachBatch: each micro-batch writes the next version beside the last, so that a repeated batch is harmless."""
+    """A table kept by foreachBatch: each micro-batch writes the version of its number beside the earlier ones.
+
+    The last complete version is looked for in the folder, so a restart goes on from it; a
+    repeated batch starts from the version before its own, so it is harmless.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, key: str, content: list[str], order: str, schema: str):
         self.spark, self.folder, self.key, self.content, self.order, self.schema = spark, folder, key, content, order, schema
-        self.version: int | None = None
 
-    def table(self) -> DataFrame:
-        if self.version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(f"{self.folder}/{self.version}")
+    def versions(self) -> list[int]:
+        """Numbers of the complete versions, in order."""
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+        done = lambda n: files.exists(sc._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}/_SUCCESS"))
+        return sorted(int(n) for n in names if n.isdigit() and done(n))
+
+    @property
+    def version(self) -> int | None:
+        return max(self.versions(), default=None)
+
+    def table(self, before: int | None = None) -> DataFrame:
+        """The last version, or the last one before a number."""
+        found = [v for v in self.versions() if before is None or v < before]
+        return self.spark.read.parquet(f"{self.folder}/{found[-1]}") if found else self.spark.createDataFrame([], self.schema)
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        upserted(self.table(), batch, self.key, self.content, self.order).write.mode("overwrite").parquet(f"{self.folder}/{number}")
-        self.version = number
+        upserted(self.table(before=number), batch, self.key, self.content, self.order).write.mode("overwrite").parquet(f"{self.folder}/{number}")
 
 
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
