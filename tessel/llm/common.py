@@ -40,7 +40,7 @@ def small_batches(spark: SparkSession, size: str = "8m") -> None:
 class Shared:
     """Tables written to the shared folder, which cut lineage: a lost executor costs a reread, not a recomputation.
 
-    They stay for the plans that read them; clear() removes them once those have run.
+    They stay for the plans that read them; clear() removes them once those have run (Shared.live lists what is left).
     """
 
     live: ClassVar[list[Shared]] = []

@@ -7,7 +7,9 @@ lines: the pairs (rank here, rank 2^k further on) that occur more than once are
 range over the cluster and numbered in that order. A prefix of n lines is then known by
 two overlapping ranks of the largest power of two.
 
-A run counts as repeated from `MIN_WORDS` words on. Suffixes that share so many words
+A run counts as repeated from `min_words` words on; without a least length every single
+repeated line is a run, and the result that of dropping each line seen before (as with
+min_words=1). Suffixes that share so many words
 form one interval of the suffix array (a longest common prefix of that many words); all
 its members but the first, by doc_id, are later copies. Intervals are taken from each
 line forwards and from each line backwards to the least number of lines with so many
