@@ -78,7 +78,7 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def spread(df: DataFrame, *keys: str, per: int = 1) -> DataFrame:
+def spread(df: DataFrame, *keys: str | Column, per: int = 1) -> DataFrame:
     """Deals rows over the session's shuffle partitions by keys."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(1, n * per), *keys)
