@@ -289,11 +289,17 @@ def alias_lookup_exact(spark, sf_dir):
     select p_partkey, alias from m where k = 1"""
 )
 def contains_longest(spark, sf_dir):
-    """The longest alias that a text holds as whole words; aliases are met by their first word."""
+    """The longest alias that a text holds as whole words; aliases are met by their first word.
+
+    The parts are dealt out by key first: then the planner knows their measured size, each task has a share of them, and
+    what a part has in common with aliases is sorted there.
+    """
     part = t(spark, sf_dir, "part")
-    names = [part.select(text.normalise(x).alias("alias")) for x in (c("p_brand"), F.split_part("p_type", F.lit(" "), F.lit(1)), c("p_type"))]
-    known = names[0].union(names[1]).union(names[2]).distinct().where(F.length("alias") >= lookup.ALIAS_LENGTH).withColumn("w", F.split_part("alias", F.lit(" "), F.lit(1)))
-    hay = part.select("p_partkey", text.normalise(F.concat_ws(" ", "p_name", "p_type", "p_brand")).alias("hay"))
+    raw = [part.select(x.alias("name")).distinct() for x in (c("p_brand"), F.split_part("p_type", F.lit(" "), F.lit(1)), c("p_type"))]
+    # exploded, since the planner would move filters on a plain alias below distinct(), where every part's names would be normalised
+    names = raw[0].union(raw[1]).union(raw[2]).select(F.explode(F.array(text.normalise(c("name")))).alias("alias"))
+    known = names.distinct().where(F.length("alias") >= lookup.ALIAS_LENGTH).withColumn("w", F.split_part("alias", F.lit(" "), F.lit(1)))
+    hay = part.repartition("p_partkey").select("p_partkey", text.normalise(F.concat_ws(" ", "p_name", "p_type", "p_brand")).alias("hay"))
     near = hay.withColumn("w", F.explode(F.array_distinct(F.split("hay", " ")))).join(known, "w")
     near = near.where(F.contains(F.concat(F.lit(" "), c("hay"), F.lit(" ")), F.concat(F.lit(" "), c("alias"), F.lit(" "))))
     return near.groupBy("p_partkey").agg(F.min_by("alias", F.struct(-F.length("alias"), c("alias"))).alias("alias"))
